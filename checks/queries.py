@@ -49,8 +49,8 @@ def product_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spec_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _products(spark, sf_dir).select(
-        "scraped_url", F.explode("specs").alias("spec_key", "spec_value")
-    )
+        "scraped_url", F.explode_outer("specs").alias("spec_key", "spec_value")
+    ).where(F.col("spec_key").isNotNull())
 
 
 def generate_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,13 +96,15 @@ def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cleaned(spark, sf_dir).select(
         "review_key",
-        F.posexplode(chunks.split_sentences(F.col("cleaned_text"))).alias("position", "sentence"),
+        F.posexplode_outer(chunks.split_sentences(F.col("cleaned_text"))).alias(
+            "position", "sentence"
+        ),
     )
 
 
 def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = chunks.add_chunks(chunks.add_token_count(_cleaned(spark, sf_dir)))
-    return packed.select("review_key", F.posexplode("chunks").alias("chunk_idx", "chunk"))
+    return packed.select("review_key", F.posexplode_outer("chunks").alias("chunk_idx", "chunk"))
 
 
 def _preprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ each difference is settled here, once.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -18,8 +19,10 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200A"
     "\u2028\u2029\u202F\u205F\u3000"
 )
-# The same set as the inside of a Java character class.
-WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+# The same set as the inside of a Java character class, in patterns that start
+# with UNICODE. A class that lists the ranges one by one is ten times slower.
+UNICODE = "(?U)"
+WS = r"\s\x1c-\x1f"
 
 # Where Python's str.splitlines() breaks.
 LINE_BREAK = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
@@ -31,6 +34,18 @@ _INFINITE = r"^(?i)[+-]?inf(inity)?$"
 _NAN = r"^(?i)[+-]?nan$"
 
 
+def stepwise(text: Column, *steps: Callable[[Column], Column]) -> Column:
+    """Apply the steps one after the other, each on the value of the one before.
+
+    Plain nesting would copy the whole expression so far wherever a step names
+    its input twice; the variable of a transform is a value.
+    """
+    value = F.array(text)
+    for step in steps:
+        value = F.transform(value, step)
+    return value[0]
+
+
 def strip(text: Column) -> Column:
     """Drop white space at both ends; Spark's plain trim only drops U+0020."""
     return F.btrim(text, F.lit(WHITESPACE))
@@ -46,8 +61,9 @@ def word_count(text: Column) -> Column:
     Every word, with the space around it, is turned into one character and the
     characters are counted: one compiled pattern and no array of words.
     """
-    one_per_word = F.regexp_replace(text, f"[{WS}]*+[^{WS}]++[{WS}]*+", "x")
-    return F.when(text.rlike(f"[^{WS}]"), F.length(one_per_word)).otherwise(0)
+    word = f"{UNICODE}[{WS}]*+[^{WS}]++[{WS}]*+"
+    one_per_word = F.regexp_replace(text, word, "x")
+    return F.when(text.rlike(f"{UNICODE}[^{WS}]"), F.length(one_per_word)).otherwise(0)
 
 
 def stripped_lines(text: Column) -> Column:

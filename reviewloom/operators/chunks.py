@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.functions.text import WS, is_blank
+from reviewloom.functions.text import UNICODE, WS, is_blank
 from reviewloom.functions.tokens import TokenCounter, word_tokens
 from reviewloom.operators.clean import clean_text
 
@@ -14,7 +14,7 @@ MAX_TOKENS = 400
 
 
 def split_sentences(text: Column) -> Column:
-    return F.split(text, f"(?<=[.!?])[{WS}]+", -1)
+    return F.split(text, f"{UNICODE}(?<=[.!?])[{WS}]+", -1)
 
 
 def chunk_starts(counts: Column, max_tokens: int = MAX_TOKENS) -> Column:
@@ -101,8 +101,12 @@ def preprocess_metrics(preprocessed: DataFrame) -> DataFrame:
 
 
 def explode_chunks(preprocessed: DataFrame) -> DataFrame:
-    """One row per non-blank chunk with its position in the review."""
+    """One row per non-blank chunk with its position in the review.
+
+    The outer form, although no review is without chunks: for the inner one the
+    optimizer adds a filter on the array's size, and so computes the chunks twice.
+    """
     columns = [c for c in preprocessed.columns if c != "chunks"]
     return preprocessed.select(
-        *columns, F.posexplode("chunks").alias("chunk_idx", "chunk")
+        *columns, F.posexplode_outer("chunks").alias("chunk_idx", "chunk")
     ).where(~is_blank(F.col("chunk")))

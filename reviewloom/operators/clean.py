@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reviewloom.functions.text import WS, strip
+from reviewloom.functions.text import UNICODE, WS, stepwise, strip
 
 # Characters and what replaces them, in order.
 REPLACEMENTS = (
@@ -20,66 +20,97 @@ REPLACEMENTS = (
     ("\u200B", ""),
 )
 
-# What a cleaned text may hold besides these is dropped.
-KEPT_CHARACTERS = r"\x09\x0A\x0D\x20-\x7E\u00A0-\uFFFF"
+# What cleaning drops, which is all but tab, line feed, carriage
+# return, U+0020 to U+007E and U+00A0 to U+FFFF. The low ones are listed singly:
+# the regex engine looks those up in a table.
+_LOW_DROPPED = "".join(
+    f"\\x{code:02X}"
+    for code in range(0xA0)
+    if chr(code) not in "\t\n\r" and not 0x20 <= code <= 0x7E
+)
+DROPPED_CHARACTERS = _LOW_DROPPED + r"\x{10000}-\x{10FFFF}"
 
 # Characters that composition leaves alone, whatever stands next to them: all up
 # to U+02FF, most dashes and quotes, currency signs, Han characters.
-_ALWAYS_COMPOSED = r"\u0000-\u02FF\u2010-\u2027\u2030-\u205E\u20A0-\u20CF\u4E00-\u9FFF"
+ALWAYS_COMPOSED = r"\u0000-\u02FF\u2010-\u2027\u2030-\u205E\u20A0-\u20CF\u4E00-\u9FFF"
 
+# Every step first takes a cheap look whether it has anything to do; most texts
+# need few of them, and a search for a short string costs far less than a regex.
+
+
+def _where(needed: Column, step: Column, text: Column) -> Column:
+    return F.when(needed, step).otherwise(text)
 
-def compose(text: Column) -> Column:
-    """Unicode NFC by the ICU library on Spark's own class path.
 
-    Only texts holding a character that composition may touch are sent there,
-    and none leaves the JVM.
-    """
+def compose(text: Column) -> Column:
+    """Unicode NFC by the ICU library on Spark's own class path: no text leaves
+    the JVM, and only those with a character that may change go there."""
     composed = F.reflect(
         F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False)
     )
-    return F.when(text.rlike(f"[^{_ALWAYS_COMPOSED}]"), composed).otherwise(text)
+    return _where(text.rlike(f"[^{ALWAYS_COMPOSED}]"), composed, text)
+
+
+def replace_typographic(text: Column) -> Column:
+    replaced = text
+    for character, plain in REPLACEMENTS:
+        replaced = F.replace(replaced, F.lit(character), F.lit(plain))
+    return replaced
 
 
 def fix_encoding(text: Column) -> Column:
     """NFC, then plain forms of typographic characters."""
-    fixed = compose(F.coalesce(text, F.lit("")))
-    for character, plain in REPLACEMENTS:
-        fixed = F.replace(fixed, F.lit(character), F.lit(plain))
-    return fixed
+
+    def fix(value: Column) -> Column:
+        # Latin text without typographic characters has neither to fear.
+        fixed = stepwise(value, compose, replace_typographic)
+        return _where(value.rlike(r"[\u00A0\u0300-\x{10FFFF}]"), fixed, value)
+
+    return stepwise(F.coalesce(text, F.lit("")), fix)
 
 
 def strip_tags(text: Column) -> Column:
     """Each tag becomes one space."""
-    return F.regexp_replace(text, "<[^>]++>", " ")
+    return _where(
+        F.contains(text, F.lit("<")), F.regexp_replace(text, "<[^>]++>", " "), text
+    )
 
 
 def drop_control_characters(text: Column) -> Column:
-    return F.regexp_replace(text, f"[^{KEPT_CHARACTERS}]+", "")
+    return F.regexp_replace(text, f"[{DROPPED_CHARACTERS}]+", "")
 
 
 def collapse_blanks(text: Column) -> Column:
     """Runs of spaces and tabs to one space; single spaces are not touched."""
-    return F.regexp_replace(text, "\t[ \t]*+| [ \t]++", " ")
+    return _where(
+        F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t")),
+        F.regexp_replace(text, "\t[ \t]*+| [ \t]++", " "),
+        text,
+    )
 
 
 def collapse_blank_lines(text: Column) -> Column:
-    return F.regexp_replace(text, "\n{3,}", "\n\n")
+    return _where(
+        F.contains(text, F.lit("\n\n\n")), F.regexp_replace(text, "\n{3,}", "\n\n"), text
+    )
 
 
 def tighten_punctuation(text: Column) -> Column:
-    """No white space before . , ! ? ; , tried once per run of white space."""
-    return F.regexp_replace(text, f"(?<![{WS}])[{WS}]++([.,!?;:])", "$1")
+    """No white space before . , ! ? ; :, tried once per run of white space."""
+    return _where(
+        text.rlike(f"{UNICODE}[.,!?;:](?<=[{WS}].)"),
+        F.regexp_replace(text, f"{UNICODE}(?<![{WS}])[{WS}]++([.,!?;:])", "$1"),
+        text,
+    )
 
 
 def clean_text(text: Column) -> Column:
-    cleaned = fix_encoding(text)
-    for step in (
+    return stepwise(
+        fix_encoding(text),
         strip_tags,
         drop_control_characters,
         collapse_blanks,
         collapse_blank_lines,
         tighten_punctuation,
         strip,
-    ):
-        cleaned = step(cleaned)
-    return cleaned
+    )

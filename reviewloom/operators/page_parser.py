@@ -51,6 +51,10 @@ class _PageReader(HTMLParser):
         self.sibling_depth: int | None = None
         self.table_depth: int | None = None
 
+    def updatepos(self, start, end):
+        # Line numbers, which the base class keeps for messages, are not needed.
+        return end
+
     # events
 
     def handle_starttag(self, tag, attrs):
