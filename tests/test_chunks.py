@@ -57,7 +57,7 @@ def test_packing_against_brute_force(spark, limit):
 
 
 def test_sentences(apply):
-    texts = ["", "One. Two!  Three?\nfour", "a...b. c", "x. y", ". . ."]
+    texts = ["", "One. Two!  Three?\nfour", "a...b. c", "x.\u2003y", ". . ."]
     assert apply(split_sentences, texts) == [re.split(r"(?<=[.!?])\s+", t) for t in texts]
 
 
@@ -102,7 +102,7 @@ def test_metrics(spark):
 
 def test_explode_keeps_positions_and_skips_blanks(spark):
     rows = spark.createDataFrame(
-        [(1, ["a", "  ", "b"]), (2, [""])], "review_key int, chunks array<string>"
+        [(1, ["a", " \u2003", "b"]), (2, [""])], "review_key int, chunks array<string>"
     )
     found = [tuple(r) for r in explode_chunks(rows).orderBy("chunk_idx").collect()]
     assert found == [(1, 0, "a"), (1, 2, "b")]

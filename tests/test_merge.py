@@ -1,0 +1,167 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from reviewloom.operators import merge
+from reviewloom.operators.offline_client import reviewed_text
+
+
+@pytest.mark.parametrize(
+    "labels, elected",
+    [
+        ("", "Unknown"),
+        ("P", "P"),
+        ("PN", "Mixed"),
+        ("PNM", "Mixed"),
+        ("PPNN", "P"),
+        ("NPPN", "N"),
+        ("NPP", "P"),
+        ("UUP", "U"),
+    ],
+)
+def test_vote(apply, labels, elected):
+    assert apply(merge.vote, [list(labels)], "array<string>") == [elected]
+
+
+def test_key_points_first_five(apply):
+    points = [[["a", "b"], ["a", "c"], [], ["d", "e", "f"]], []]
+    assert apply(merge.first_key_points, points, "array<array<string>>") == [list("abcde"), []]
+
+
+ANSWERS = {
+    "good": "SENTIMENT: Positive\nCONFIDENCE: 0.9\nKEY_POINTS:\n- a\n- b\nSUMMARY: fine",
+    "bad": "SENTIMENT: Negative\nCONFIDENCE: 0.4\nKEY_POINTS:\n- b\n- c\nSUMMARY: poor",
+    "mute": "nothing useful",
+    "none": None,
+    "empty": "",
+}
+
+
+def analysed(spark, chunks):
+    answers = ANSWERS
+
+    def answering():
+        return lambda prompt, temperature, max_tokens: answers[reviewed_text(prompt)]
+
+    rows = spark.createDataFrame(
+        [(1, chunks, None, None)],
+        "review_key int, chunks array<string>, rating int, author string",
+    )
+    return merge.analyze_reviews(rows, answering).first().asDict()
+
+
+def test_review_with_all_kinds_of_answers(spark):
+    row = analysed(spark, ["mute", "good", " ", "none", "bad", "good", "empty"])
+    assert row["sentiment"] == "Positive"
+    assert row["confidence"] == 0.733
+    assert row["key_points"] == ["a", "b", "c"] and row["key_points_str"] == "a | b | c"
+    # The first answered chunk decides, although it has no summary line.
+    assert row["llm_summary"] == ""
+    assert row["raw_llm_response"] == "\n---\n".join(
+        ANSWERS[name] for name in ("mute", "good", "bad", "good")
+    )
+    assert row["chunks_analyzed"] == 7
+
+
+def test_review_without_answers(spark):
+    for chunks in ([""], ["none", "empty"]):
+        row = analysed(spark, chunks)
+        assert (row["sentiment"], row["confidence"]) == ("Unknown", None)
+        assert (row["key_points"], row["key_points_str"]) == ([], "")
+        assert (row["llm_summary"], row["raw_llm_response"]) == ("No summary generated.", "")
+        assert row["chunks_analyzed"] == len(chunks)
+
+
+@pytest.fixture(scope="module")
+def parsed(spark):
+    """Answers of many small reviews and of one that has a third of all rows."""
+    rng = random.Random(9)
+    rows = []
+    for review in range(150):
+        size = 700 if review == 0 else rng.randint(1, 9)
+        for index in range(size):
+            rows.append(
+                (
+                    review,
+                    index,
+                    rng.choice(["Positive", "Negative", "Neutral", "Mixed", "Unknown"]),
+                    rng.choice([None, rng.randint(0, 100) / 100]),
+                    [rng.choice("abcdefgh") for _ in range(rng.randint(0, 3))],
+                    rng.choice(["", f"s{index}"]),
+                    f"raw {review} {index}",
+                )
+            )
+    rng.shuffle(rows)
+    return spark.createDataFrame(
+        rows,
+        "review_key int, chunk_idx int, sentiment string, confidence double, "
+        "key_points array<string>, llm_summary string, raw_response string",
+    ).repartition(7)
+
+
+def groups(parsed):
+    by_review = {}
+    for row in sorted(parsed.collect(), key=lambda r: (r.review_key, r.chunk_idx)):
+        by_review.setdefault(row.review_key, []).append(row)
+    return by_review
+
+
+def test_table_sentiment(parsed):
+    found = {r.review_key: r.sentiment for r in merge.merge_sentiment(parsed).collect()}
+    for key, rows in groups(parsed).items():
+        # most_common keeps the order of first appearance among equals.
+        label, count = Counter(r.sentiment for r in rows).most_common(1)[0]
+        expected = "Mixed" if count == 1 and len(rows) > 1 else label
+        assert found.pop(key) == expected
+    assert not found
+
+
+def test_table_confidence(parsed):
+    found = {r.review_key: r.confidence for r in merge.merge_confidence(parsed).collect()}
+    for key, rows in groups(parsed).items():
+        total, known = 0.0, 0
+        for row in rows:
+            if row.confidence is not None:
+                total, known = total + row.confidence, known + 1
+        assert found.pop(key) == (round(total / known, 3) if known else None)
+    assert not found
+
+
+def test_table_key_points(parsed):
+    found = {r.review_key: r.key_points for r in merge.merge_key_points(parsed).collect()}
+    for key, rows in groups(parsed).items():
+        points = dict.fromkeys(p for r in rows for p in r.key_points)
+        assert found.pop(key) == list(points)[:5]
+    assert not found
+
+
+def test_table_summary(parsed):
+    found = {r.review_key: r for r in merge.merge_summary(parsed).collect()}
+    for key, rows in groups(parsed).items():
+        row = found.pop(key)
+        assert row.llm_summary == rows[0].llm_summary
+        assert row.raw_llm_response == "\n---\n".join(r.raw_response for r in rows)
+    assert not found
+
+
+def test_both_forms_agree(parsed):
+    """The in-row expressions on gathered small groups give what the table form gives."""
+    answers = F.array_sort(
+        F.collect_list(F.struct("chunk_idx", "sentiment", "confidence", "key_points"))
+    )
+    gathered = parsed.groupBy("review_key").agg(answers.alias("a"))
+    in_row = gathered.select(
+        "review_key",
+        merge.vote(F.col("a.sentiment")).alias("sentiment"),
+        merge.mean_confidence(F.col("a.confidence")).alias("mean"),
+        merge.first_key_points(F.col("a.key_points")).alias("key_points"),
+    ).select("review_key", "sentiment", merge.round3(F.col("mean")).alias("c"), "key_points")
+    table = (
+        merge.merge_sentiment(parsed)
+        .join(merge.merge_confidence(parsed), "review_key")
+        .join(merge.merge_key_points(parsed), "review_key")
+        .select("review_key", "sentiment", F.col("confidence").alias("c"), "key_points")
+    )
+    assert in_row.exceptAll(table).isEmpty() and table.exceptAll(in_row).isEmpty()
