@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import views
 from checks.clients import failing_client
+from reviewloom.functions.times import moment
 from reviewloom.functions.tokens import estimate_tokens
 from reviewloom.operators import chunks, completion, merge, pages, report
 from reviewloom.operators import clean as cleaning
@@ -241,7 +242,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark)
-    _enriched(spark, sf_dir).write.parquet(f"{folder}/enriched")
+    documents.with_json_bytes(_enriched(spark, sf_dir)).write.parquet(f"{folder}/enriched")
     enriched = spark.read.parquet(f"{folder}/enriched")
     products = enriched.groupBy("source_url").agg(
         F.max("product_title").alias("product_title"), F.max("rating").alias("overall_rating")
@@ -252,7 +253,7 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.lit("N/A").alias(name) for name in ("price", "availability", "description")],
         F.create_map(F.lit("lang"), F.lit("any")).alias("specs"),
         F.col("source_url").alias("scraped_url"),
-        F.lit(RUN_TIME).alias("scraped_at"),
+        moment(RUN_TIME).alias("scraped_at"),
     )
     documents.write_documents(enriched, metadata, f"{folder}/json", RUN_TIME)
     fields = (

@@ -28,7 +28,7 @@ WS = r"\s\x1c-\x1f"
 LINE_BREAK = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
 
 # What Python's float() takes, after surrounding white space is gone.
-_DIGITS = r"[0-9]+(_[0-9]+)*"
+_DIGITS = r"[0-9]++(?:_[0-9]++)*+"
 _NUMBER = rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
 _INFINITE = r"^(?i)[+-]?inf(inity)?$"
 _NAN = r"^(?i)[+-]?nan$"

@@ -70,10 +70,18 @@ def fix_encoding(text: Column) -> Column:
 
 
 def strip_tags(text: Column) -> Column:
-    """Each tag becomes one space."""
-    return _where(
-        F.contains(text, F.lit("<")), F.regexp_replace(text, "<[^>]++>", " "), text
-    )
+    """Each tag becomes one space.
+
+    Only what ends with the last ">" is searched: there every "<" finds its end,
+    while in the rest each of them would be followed to the end of the text.
+    """
+
+    def strip_all(value: Column) -> Column:
+        rest = F.substring_index(value, ">", -1)
+        tagged = F.left(value, F.length(value) - F.length(rest))
+        return F.concat(F.regexp_replace(tagged, "<[^>]++>", " "), rest)
+
+    return _where(F.contains(text, F.lit("<")), strip_all(text), text)
 
 
 def drop_control_characters(text: Column) -> Column:

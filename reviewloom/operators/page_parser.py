@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 FIELDS = ("title", "star", "price", "availability", "description", "specs")
@@ -40,6 +41,7 @@ class _PageReader(HTMLParser):
         super().__init__()
         self.wanted = frozenset(wanted)
         self.open_tags: list[str] = []
+        self.open_count: Counter[str] = Counter()
         self.open_texts: list[_Text] = []
         self.texts: dict[str, _Text] = {}
         self.star: str | None = None
@@ -94,12 +96,15 @@ class _PageReader(HTMLParser):
                         row[tag] = cell
         if tag not in VOID:
             self.open_tags.append(tag)
+            self.open_count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         # "<p/>" opens a paragraph in HTML; only void elements end at once.
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
+        if not self.open_count[tag]:
+            return
         for depth in range(len(self.open_tags) - 1, -1, -1):
             open_tag = self.open_tags[depth]
             if open_tag == tag:
@@ -116,7 +121,7 @@ class _PageReader(HTMLParser):
     # open elements
 
     def _close_implied(self, tag):
-        if tag in ENDS_PARAGRAPH:
+        if tag in ENDS_PARAGRAPH and self.open_count["p"]:
             self._close_nearest(("p",), CELL_BOUNDARY)
         if tag in CELLS:
             self._close_nearest(CELLS, ("table", "tr"))
@@ -132,6 +137,7 @@ class _PageReader(HTMLParser):
                 return
 
     def _close_down_to(self, depth):
+        self.open_count.subtract(self.open_tags[depth:])
         del self.open_tags[depth:]
         self.open_texts = [text for text in self.open_texts if text.depth < depth]
         self.open_rows = [entry for entry in self.open_rows if entry[0] < depth]

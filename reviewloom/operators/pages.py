@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom.functions.times import moment
 from reviewloom.operators.page_parser import FIELDS, read_page
 from reviewloom.schemas import PAGE_FIELDS
 
@@ -76,5 +77,5 @@ def product_metadata(pages: DataFrame, scraped_at: datetime | None = None) -> Da
         field("description", "page.description", MISSING),
         F.col("page.specs").alias("specs"),
         F.col("url").alias("scraped_url"),
-        (F.current_timestamp() if scraped_at is None else F.lit(scraped_at)).alias("scraped_at"),
+        moment(scraped_at).alias("scraped_at"),
     )

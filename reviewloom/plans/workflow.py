@@ -14,7 +14,7 @@ from reviewloom.operators.completion import ClientFactory, CompletionSettings, o
 from reviewloom.operators.generate import generate_reviews
 from reviewloom.operators.merge import analyze_reviews
 from reviewloom.operators.pages import product_metadata
-from reviewloom.sinks.documents import write_documents
+from reviewloom.sinks.documents import with_json_bytes, write_documents
 from reviewloom.sinks.flat import export_rows, write_csv
 from reviewloom.sources.tables import fetched
 
@@ -36,8 +36,16 @@ def analyzed(
     settings: CompletionSettings = CompletionSettings(),
     counter: TokenCounter = word_tokens,
     max_tokens: int = MAX_TOKENS,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Reviews to enriched reviews: one narrow stage, no shuffle."""
+    """Reviews to enriched reviews: one narrow stage, no shuffle.
+
+    With a slow client the calls outweigh the data by far. ``tasks`` then deals
+    the reviews out anew: the number of tasks running at once bounds the calls in
+    flight, and a smaller task loses fewer answers with its executor.
+    """
+    if tasks is not None:
+        reviews = reviews.repartition(tasks, "review_key")
     preprocessed = preprocess_reviews(reviews, counter, max_tokens)
     return analyze_reviews(preprocessed, client_factory, settings)
 
@@ -90,15 +98,15 @@ def _run(
     settings: CompletionSettings = CompletionSettings(),
     counter: TokenCounter = word_tokens,
     max_tokens: int = MAX_TOKENS,
+    tasks: int | None = None,
 ) -> Run:
     if reviews.isEmpty():
         raise ValueError("no reviews to analyse")
 
     # Answers cost money and may differ when asked for again: they are asked for
     # once, and files and report are made from what was stored.
-    enriched = _store(
-        analyzed(reviews, client_factory, settings, counter, max_tokens), f"{base}/enriched"
-    )
+    results = analyzed(reviews, client_factory, settings, counter, max_tokens, tasks)
+    enriched = _store(with_json_bytes(results), f"{base}/enriched")
     csv_path = write_csv(export_rows(enriched), f"{base}/csv")
     json_path = write_documents(enriched, products, f"{base}/json", generated_at)
     return Run(

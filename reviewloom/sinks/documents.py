@@ -14,13 +14,16 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.functions.times import iso, moment
+
 LINE_BYTES = 64 * 2**20
 # At most this many documents are larger than a line may be: the limit rises
 # with the total where needed, so the list of their keys can be broadcast.
 MAX_LARGE = 2_000_000
 PART_BYTES = 128 * 2**20
-ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-NOT_WRITTEN = ("chunks", "review_key")
+# Size of a review's JSON text, where the table has it from the run that stored it.
+STORED_BYTES = "json_bytes"
+NOT_WRITTEN = ("chunks", "review_key", STORED_BYTES)
 PAGE_COLUMNS = ("product_title", "overall_rating", "price", "availability", "description")
 RUN_COLUMNS = ("scraped_url", "scraped_at")
 
@@ -42,9 +45,7 @@ def metadata_json(products: DataFrame) -> DataFrame:
         lambda name, _: ~name.isin(*PAGE_COLUMNS, *RUN_COLUMNS),
     )
     specs = F.when(F.size(extra) > 0, _members(F.to_json(extra)))
-    run = _members(
-        _json("scraped_url", F.date_format("scraped_at", ISO_TIME).alias("scraped_at"))
-    )
+    run = _members(_json("scraped_url", iso(F.col("scraped_at")).alias("scraped_at")))
     listed = products.select(
         F.col("scraped_url").alias("source_url"),
         F.concat(F.lit("{"), F.concat_ws(",", page, specs, run), F.lit("}")).alias("metadata"),
@@ -53,13 +54,18 @@ def metadata_json(products: DataFrame) -> DataFrame:
     return listed.groupBy("source_url").agg(F.min("metadata").alias("metadata"))
 
 
-def review_json(enriched: DataFrame) -> DataFrame:
-    written = [name for name in enriched.columns if name not in NOT_WRITTEN]
-    return enriched.select("source_url", "review_key", _json(*written).alias("body"))
+def review_json(enriched: DataFrame) -> Column:
+    return _json(*[name for name in enriched.columns if name not in NOT_WRITTEN])
+
+
+def with_json_bytes(enriched: DataFrame) -> DataFrame:
+    """Adds the size of each review's JSON text; stored with the reviews, it saves
+    ``write_documents`` one reading of all texts."""
+    return enriched.withColumn(STORED_BYTES, F.octet_length(review_json(enriched)))
 
 
 def _opening(generated_at: datetime) -> Column:
-    time = F.date_format(F.lit(generated_at), ISO_TIME)
+    time = iso(moment(generated_at))
     return F.concat(
         F.lit('{"product_metadata":'),
         F.coalesce("metadata", F.lit("{}")),
@@ -81,11 +87,12 @@ def write_documents(
     """Write all documents. Reads ``enriched`` more than once: pass a stored table,
     with a review_key that is unique within its product."""
     spark = enriched.sparkSession
-    reviews = review_json(enriched)
+    reviews = enriched.select("source_url", "review_key", review_json(enriched).alias("body"))
+    sized = enriched if STORED_BYTES in enriched.columns else with_json_bytes(enriched)
 
-    totals = reviews.groupBy("source_url").agg(
+    totals = sized.groupBy("source_url").agg(
         F.count("*").alias("total_reviews"),
-        F.sum(F.octet_length("body") + 1).alias("bytes"),
+        F.sum(F.col(STORED_BYTES) + 1).alias("bytes"),
         F.min("review_key").alias("first_key"),
     )
     totals.join(metadata_json(products), "source_url", "left").write.parquet(f"{path}/index")

@@ -67,6 +67,12 @@ def test_named_cases(apply):
     assert apply(clean.clean_text, list(cases)) == list(cases.values())
 
 
+def test_open_tags_do_not_take_quadratic_time(apply):
+    # Half a million marks, each of which would be followed to the end.
+    text = "a <b> " + "<" * 500_000
+    assert apply(clean.strip_tags, [text]) == ["a   " + "<" * 500_000]
+
+
 def test_characters_left_alone_by_composition():
     """The guard's class holds nothing that composes with or reorders a neighbour."""
     inside = re.compile(f"[{clean.ALWAYS_COMPOSED}]")
