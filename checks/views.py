@@ -95,7 +95,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4 before the answer: chunks with their position, some of them blank."""
-    talks = read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id")
+    talks = read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id", "turn")
     return talks.select(
         F.col("conv_id").alias("review_key"),
         F.col("turn").cast("int").alias("chunk_idx"),

@@ -42,7 +42,8 @@ def stepwise(text: Column, *steps: Callable[[Column], Column]) -> Column:
     """
     value = F.array(text)
     for step in steps:
-        value = F.transform(value, step)
+        # In a function of one parameter: with a second one it would get the position.
+        value = F.transform(value, lambda current: step(current))
     return value[0]
 
 
@@ -55,6 +56,10 @@ def is_blank(text: Column) -> Column:
     return strip(text) == ""
 
 
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def word_count(text: Column) -> Column:
     """Number of white-space separated words.
 
@@ -90,11 +95,16 @@ def python_float(text: Column) -> Column:
     A bare cast would take "0.9d" and "0x1p3" and refuse "1_0".
     """
     source, target = _decimal_digits()
-    ascii_digits = F.when(
-        text.rlike(r"[^\x00-\x7f]"), F.translate(text, source, target)
-    ).otherwise(text)
-    plain = F.replace(ascii_digits, F.lit("_"), F.lit(""))
-    return (
-        F.when(ascii_digits.rlike(_NAN), F.lit(float("nan")))
-        .when(ascii_digits.rlike(_INFINITE) | ascii_digits.rlike(_NUMBER), plain.try_cast("double"))
-    )
+
+    def ascii_digits(value: Column) -> Column:
+        return F.when(is_ascii(value), value).otherwise(F.translate(value, source, target))
+
+    def number(value: Column) -> Column:
+        plain = F.replace(value, F.lit("_"), F.lit("")).try_cast("double")
+        return (
+            F.when(value.rlike(_NUMBER), plain)
+            .when(value.rlike(_NAN), F.lit(float("nan")))
+            .when(value.rlike(_INFINITE), plain)
+        )
+
+    return stepwise(text, ascii_digits, number)

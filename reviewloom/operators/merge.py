@@ -150,9 +150,9 @@ def merge_key_points(parsed: DataFrame) -> DataFrame:
     points = parsed.select(
         "review_key", "chunk_idx", F.posexplode_outer("key_points").alias("position", "point")
     )
-    first_seen = points.groupBy("review_key", "point").agg(
-        F.min(F.struct("chunk_idx", "position")).alias("seen")
-    )
+    # Chunk and position in one number, which a hash aggregate can hold.
+    place = F.col("chunk_idx").cast("long") * 2**32 + F.col("position")
+    first_seen = points.groupBy("review_key", "point").agg(F.min(place).alias("seen"))
     # A review without any point keeps one row, ranked after real ones.
     in_order = Window.partitionBy("review_key").orderBy(F.col("point").isNull(), "seen")
     kept = first_seen.withColumn("rank", F.row_number().over(in_order)).where(

@@ -36,7 +36,7 @@ def canned_answer(text: str) -> str | None:
     sentiment = f"SENTIMENT: {label}"
     confidence = f"CONFIDENCE: {percent / 100:.2f}"
     summary = f"SUMMARY: s {digest[:8]}"
-    first, second, third = (text.split(" ") + ["", "", ""])[:3]
+    first, second, third = (text.split(" ", 3) + ["", "", ""])[:3]
 
     well_formed = [
         sentiment, confidence, "KEY_POINTS:", f"- {first}", f"- {second}", f"- {third}", summary,

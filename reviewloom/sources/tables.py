@@ -11,21 +11,21 @@ from pyspark.sql import functions as F
 PARTITIONS_PER_CORE = 2
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Give every core work where a scan has fewer splits than there are cores.
 
     A table of one row group is read by one task, and everything narrow that
     follows stays in it. Scans with enough splits, which is any large table, are
-    returned as they are: no row moves.
+    returned as they are: no row moves. ``keys`` name a row, so that none is hot.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= cores:
         return scan
-    return scan.repartition(cores * PARTITIONS_PER_CORE, key)
+    return scan.repartition(cores * PARTITIONS_PER_CORE, *keys)
 
 
-def read_table(spark: SparkSession, path: str, key: str) -> DataFrame:
-    return spread(spark.read.parquet(path), key)
+def read_table(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    return spread(spark.read.parquet(path), *keys)
 
 
 def fetched(pages: DataFrame, url: str | None = None) -> DataFrame:

@@ -77,6 +77,12 @@ def test_whole_page():
         ("<table class=table-striped><tr><th>A</th><th>B</th><td>1</td><td>2</td></tr></table>",
          "specs", [("a", "1")]),
         ("", "title", None),
+        ("<H1 id=x>big</H1>", "title", "big"),
+        ("<p class='star&#45;rating Two'>", "star", "Two"),
+        ("<p CLASS = price&#95;color>9</p>", "price", "9"),
+        ("<p title='a&b' class=price_color>9</p>", "price", "9"),
+        ("</p></div></i>" * 3 + "<div><b>" * 2000 + "</em></p>" * 2000 + "<h1>deep</h1>", "title",
+         "deep"),
     ],
 )
 def test_single_fields(html, field, value):
