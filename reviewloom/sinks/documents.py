@@ -21,6 +21,9 @@ LINE_BYTES = 64 * 2**20
 # with the total where needed, so the list of their keys can be broadcast.
 MAX_LARGE = 2_000_000
 PART_BYTES = 128 * 2**20
+# File names number the tasks with five digits; with more of them the order of
+# the names would no longer be the order of the pieces.
+MAX_TASKS = 99_999
 # Size of a review's JSON text, where the table has it from the run that stored it.
 STORED_BYTES = "json_bytes"
 NOT_WRITTEN = ("chunks", "review_key", STORED_BYTES)
@@ -143,7 +146,7 @@ def _write_parts(
     pieces = edge(0, _opening(generated_at)).union(body).union(edge(2, F.lit("]}")))
     order = ("source_url", "section", "review_key")
     # The range covers the review key, so a product is spread over many tasks.
-    tasks = max(1, -(-large_bytes // PART_BYTES))
+    tasks = min(max(1, -(-large_bytes // PART_BYTES)), MAX_TASKS)
     (
         pieces.repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)

@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from reviewloom.functions.tokens import bpe_tokens
 from reviewloom.operators.chunks import (
     explode_chunks,
     preprocess_metrics,
@@ -86,6 +87,22 @@ def test_other_counter(spark):
     assert by_length.first().chunks == ["Abc. Defg.", "Hi."]
 
 
+def test_vocabulary_counter(spark):
+    def load():
+        import tiktoken
+
+        ranks = {bytes([b]): b for b in range(256)}
+        return tiktoken.Encoding(
+            "bytes", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={}
+        )
+
+    rows = preprocessed(
+        spark, ["Abc. Defg. Hi.", "Short.", ""], counter=bpe_tokens(load), max_tokens=9
+    ).collect()
+    assert [r.chunks for r in rows] == [["Abc. Defg.", "Hi."], ["Short."], [""]]
+    assert [r.token_count for r in rows] == [14, 6, 0]
+
+
 def test_many_sentences_stay_linear(spark):
     text = "Some words stand here. " * 20_000
     row = preprocessed(spark, [text]).first()
