@@ -21,8 +21,8 @@ def chunk_starts(counts: Column, max_tokens: int = MAX_TOKENS) -> Column:
     """Positions of the sentences that open a chunk.
 
     A sentence opens a chunk when it no longer fits in the current one. The fold
-    carries positions, not texts: Spark copies the state of a fold at every step,
-    and texts in it would make long reviews very slow.
+    carries positions, not texts: with the texts in its state it was measured to
+    be far slower on long reviews.
     """
     start = F.struct(
         F.array(F.lit(0)).alias("starts"), F.lit(0).alias("filled"), F.lit(0).alias("at")
