@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import (
+    additive_model,
     chat_parts,
     lexicon_bpe,
     pattern_packing,
     ranked_bytes,
     splitters,
     token_counts,
+    weak_supervision,
 )
 from reviewloom.llm.tables import Workspace, table
 
@@ -82,6 +84,24 @@ def op6_ranked_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_additive_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = additive_model.train(docs, table(spark, sf_dir, "labels"))
+    return additive_model.score_documents(docs, model).select(
+        "doc_id",
+        additive_model.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= additive_model.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = weak_supervision.measure_documents(table(spark, sf_dir, "documents"))
+    stored = Workspace(spark).keep(measured, "measured")
+    _, posteriors = weak_supervision.fit_rules(stored)
+    return weak_supervision.judge(stored, posteriors).drop("votes")
+
+
 def op9_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     packed = pattern_packing.pack_documents(
@@ -111,6 +131,8 @@ QUERIES = {
     "op4_chat_parts": op4_chat_parts,
     "op5_token_counts": op5_token_counts,
     "op6_ranked_bytes": op6_ranked_bytes,
+    "op7_additive_model": op7_additive_model,
+    "op8_weak_supervision": op8_weak_supervision,
     "op9_pattern_packing": op9_pattern_packing,
     "op10_sampled_splitters": op10_sampled_splitters,
 }
