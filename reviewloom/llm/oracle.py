@@ -1,3 +1,47 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-ORACLE_SQL: dict[str, str] = {}
+BLOCK_TOPK = """
+with floors as (
+  select vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+  from floors q join floors c on q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0
+)
+select query_id, cast(rank as int) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+      from scored)
+where rank <= 5
+"""
+
+CHAT_PARTS = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'),
+                   (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), marked as (
+  select *, length(text) + length(regexp_replace(text, '[^][<>\\]', '', 'g')) as escaped
+  from turns
+)
+select conv_id,
+       count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text))
+         as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text)
+                       filter (role = 'assistant'), '')) as loss_sha256,
+       cast(7 + sum(escaped + case when role in ('user', 'assistant') then 13
+                    else 14 + length(role)
+                      + length(regexp_replace(role, '[^][<>\\]', '', 'g')) end) as bigint)
+         as formatted_chars
+from marked group by conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_block_topk": BLOCK_TOPK,
+    "op4_chat_parts": CHAT_PARTS.replace("\\", "\\"),
+}

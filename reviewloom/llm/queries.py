@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import (
     additive_model,
+    block_topk,
     chat_parts,
     lexicon_bpe,
+    order_minhash,
     pattern_packing,
     ranked_bytes,
     splitters,
@@ -40,6 +43,17 @@ def op1_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_topk.top_k(
+        table(spark, sf_dir, "embeddings"), every=50, k=5, workspace=Workspace(spark)
+    )
+
+
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return order_minhash.near_duplicates(docs, Workspace(spark)).select("doc_id", "class_id")
+
+
 CHAT_PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -128,6 +142,8 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_transducer": op1_bpe_transducer,
+    "op2_block_topk": op2_block_topk,
+    "op3_order_minhash": op3_order_minhash,
     "op4_chat_parts": op4_chat_parts,
     "op5_token_counts": op5_token_counts,
     "op6_ranked_bytes": op6_ranked_bytes,
@@ -135,4 +151,5 @@ QUERIES = {
     "op8_weak_supervision": op8_weak_supervision,
     "op9_pattern_packing": op9_pattern_packing,
     "op10_sampled_splitters": op10_sampled_splitters,
+    "pipeline": corpus_pipeline.run,
 }
