@@ -43,5 +43,5 @@ from marked group by conv_id
 
 ORACLE_SQL: dict[str, str] = {
     "op2_block_topk": BLOCK_TOPK,
-    "op4_chat_parts": CHAT_PARTS.replace("\\", "\\"),
+    "op4_chat_parts": CHAT_PARTS,
 }
