@@ -214,7 +214,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
     joined = measured.join(known.where(drawn).select("doc_id", "quality"), "doc_id")
     # In one order, so that sums of floating-point numbers come out alike.
     found = joined.orderBy("doc_id", "quality").select("features", "quality").collect()
-    table = np.array([row.features for row in found], float).reshape(len(found), -1)
+    table = np.array([row.features for row in found], float)
+    table = table.reshape(len(found), len(feature_names()))
     return fit(table, np.array([row.quality for row in found], float))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +33,10 @@ class Workspace:
         return self.spark.read.schema(frame.schema).parquet(self.path(name))
 
     def put_file(self, name: str, content: bytes) -> str:
-        """A plain file in the folder, sent to every executor; returns its name there."""
+        """A plain file in the folder, sent to every executor; returns its name there,
+        which no other file of the session has."""
         spark = self.spark
+        name = f"{uuid.uuid4().hex}-{name}"
         jvm = spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path(name))
         stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
