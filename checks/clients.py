@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewloom.operators.offline_client import digest_byte, reviewed_text, text_digest
+from checks.offline_client import digest_byte, reviewed_text, text_digest
 
 # By digest: the errors before a success, or one error for ever.
 FAILURES = (

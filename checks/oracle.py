@@ -408,7 +408,7 @@ def oracle_sql() -> dict[str, str]:
             key_points_str from p4""",
         "parse_malformed": """select conv_id, turn, text, 'Unknown' as sentiment,
             cast(null as double) as confidence, '' as llm_summary, '' as key_points_str
-            from conversations where role = 'assistant'""",
+            from conversations """,
         "merge_sentiment": "select review_key, sentiment from m4",
         "merge_confidence": "select review_key, confidence from m4",
         "merge_key_points": "select review_key, key_points_str from m4",

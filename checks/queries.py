@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import views
 from checks.clients import failing_client
+from checks.offline_client import offline_client
 from reviewloom.functions.times import moment
 from reviewloom.functions.tokens import estimate_tokens
 from reviewloom.operators import chunks, completion, merge, pages, report
@@ -139,11 +140,11 @@ def explode_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _asked(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def _asked(spark: SparkSession, sf_dir: str, client_factory=offline_client, **options) -> DataFrame:
     asked = explode_chunks(spark, sf_dir).withColumns(
         {"rating": F.lit(None).cast("int"), "author": F.lit(None).cast("string")}
     )
-    return completion.complete_chunks(asked, **options)
+    return completion.complete_chunks(asked, client_factory, **options)
 
 
 def completion_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +186,7 @@ def parse_key_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("role = 'assistant'")
+    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return parsing.parse_responses(talks, raw="text").select(
         "conv_id", "turn", "text", "sentiment", "confidence", "llm_summary", "key_points_str"
     )
@@ -211,7 +212,7 @@ def merge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyzed(views.reviews(spark, sf_dir))
+    return analyzed(views.reviews(spark, sf_dir), offline_client)
 
 
 def analyze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,27 +261,38 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "review_id string, rating int, cleaned_text string, chunk_count int, sentiment string, "
         "confidence double, key_points array<string>, raw_llm_response string"
     )
-    lines = documents.read_lines(spark, f"{folder}/json", fields)
+    openings = documents.read_openings(spark, f"{folder}/json")
+    reviews = documents.read_reviews(spark, f"{folder}/json", fields)
+    review = F.col("review")
 
     def total(value):
-        return F.aggregate("reviews", F.lit(0).cast("bigint"), lambda n, r: n + value(r))
-
-    return lines.select(
-        F.col("product_metadata")["scraped_url"].alias("source_url"),
-        F.col("product_metadata")["product_title"].alias("product_title"),
-        F.col("product_metadata")["overall_rating"].cast("int").alias("overall_rating"),
-        F.col("product_metadata")["scraped_at"].alias("scraped_at"),
+        return F.sum(value.cast("bigint"))
+
+    sums = reviews.groupBy("source_url").agg(
+        F.count("*").cast("int").alias("listed"),
+        F.md5(
+            F.array_join(
+                F.array_sort(F.collect_list(F.struct("review_key", "review.review_id")))["review_id"],
+                ",",
+            )
+        ).alias("ids_digest"),
+        total(F.coalesce(review["rating"], F.lit(0))).alias("rating_sum"),
+        total(F.length(review["cleaned_text"])).alias("text_length"),
+        total(review["chunk_count"]).alias("chunks"),
+        total(review["confidence"].isNotNull()).alias("confident"),
+        total(F.size(review["key_points"])).alias("points"),
+        total(F.length(review["raw_llm_response"])).alias("raw_length"),
+        total(review["sentiment"] == "Mixed").alias("mixed"),
+    )
+    page = F.col("product_metadata")
+    return openings.join(sums, "source_url").select(
+        page["scraped_url"].alias("source_url"),
+        page["product_title"].alias("product_title"),
+        page["overall_rating"].cast("int").alias("overall_rating"),
+        page["scraped_at"].alias("scraped_at"),
         "generated_at",
         "total_reviews",
-        F.size("reviews").alias("listed"),
-        F.md5(F.array_join("reviews.review_id", ",")).alias("ids_digest"),
-        total(lambda r: F.coalesce(r["rating"], F.lit(0))).alias("rating_sum"),
-        total(lambda r: F.length(r["cleaned_text"])).alias("text_length"),
-        total(lambda r: r["chunk_count"]).alias("chunks"),
-        total(lambda r: F.when(r["confidence"].isNotNull(), 1).otherwise(0)).alias("confident"),
-        total(lambda r: F.size(r["key_points"])).alias("points"),
-        total(lambda r: F.length(r["raw_llm_response"])).alias("raw_length"),
-        total(lambda r: F.when(r["sentiment"] == "Mixed", 1).otherwise(0)).alias("mixed"),
+        *[name for name in sums.columns if name != "source_url"],
     )
 
 

@@ -101,6 +101,12 @@ def preprocess_metrics(preprocessed: DataFrame) -> DataFrame:
     )
 
 
+def chunks_or_text(reviews: DataFrame) -> Column:
+    """A review's chunks; where they are null, its cleaned text is the only one."""
+    text = F.col("cleaned_text") if "cleaned_text" in reviews.columns else F.lit("")
+    return F.coalesce("chunks", F.array(F.coalesce(text, F.lit(""))))
+
+
 def explode_chunks(preprocessed: DataFrame) -> DataFrame:
     """One row per non-blank chunk with its position in the review.
 
@@ -109,5 +115,5 @@ def explode_chunks(preprocessed: DataFrame) -> DataFrame:
     """
     columns = [c for c in preprocessed.columns if c != "chunks"]
     return preprocessed.select(
-        *columns, F.posexplode_outer("chunks").alias("chunk_idx", "chunk")
+        *columns, F.posexplode_outer(chunks_or_text(preprocessed)).alias("chunk_idx", "chunk")
     ).where(~is_blank(F.col("chunk")))

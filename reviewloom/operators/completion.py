@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.text import is_blank
-from reviewloom.operators.offline_client import offline_client
+from reviewloom.operators.chunks import chunks_or_text
 from reviewloom.operators.prompts import build_prompt
 from reviewloom.schemas import ANSWER
 
@@ -84,7 +84,7 @@ def _answer(text: str | None, attempts: int, failure: str | None, waited: float)
 
 def complete(
     prompts: Column,
-    client_factory: ClientFactory = offline_client,
+    client_factory: ClientFactory,
     settings: CompletionSettings = CompletionSettings(),
 ) -> Column:
     """An array of prompts to an array of answers in the same order.
@@ -123,7 +123,7 @@ def complete(
 
 def complete_chunks(
     chunks: DataFrame,
-    client_factory: ClientFactory = offline_client,
+    client_factory: ClientFactory,
     settings: CompletionSettings = CompletionSettings(),
 ) -> DataFrame:
     """One answer per row of ``explode_chunks``: adds the answer's four fields."""
@@ -139,7 +139,7 @@ def answered(responses: DataFrame) -> DataFrame:
 
 def add_answers(
     preprocessed: DataFrame,
-    client_factory: ClientFactory = offline_client,
+    client_factory: ClientFactory,
     settings: CompletionSettings = CompletionSettings(),
 ) -> DataFrame:
     """Adds ``raw_responses``, the non-empty answers to a review's chunks in order.
@@ -147,7 +147,7 @@ def add_answers(
     Blank chunks are left out before the call. Every review is kept, with an
     empty array where nothing was answered.
     """
-    texts = F.filter(F.col("chunks"), lambda chunk: ~is_blank(chunk))
+    texts = F.filter(chunks_or_text(preprocessed), lambda chunk: ~is_blank(chunk))
     prompts = F.transform(
         texts, lambda chunk: build_prompt(chunk, F.col("rating"), F.col("author"))
     )

@@ -16,7 +16,6 @@ from reviewloom.operators.completion import (
     ClientFactory,
     CompletionSettings,
     add_answers,
-    offline_client,
 )
 from reviewloom.operators.responses import KEY_POINT_SEPARATOR, NO_SENTIMENT, parse_answers
 
@@ -69,7 +68,7 @@ def first_key_points(key_points: Column) -> Column:
 
 def analyze_reviews(
     preprocessed: DataFrame,
-    client_factory: ClientFactory = offline_client,
+    client_factory: ClientFactory,
     settings: CompletionSettings = CompletionSettings(),
 ) -> DataFrame:
     """Every review with its merged analysis, whether anything was answered or not.

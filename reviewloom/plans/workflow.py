@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from reviewloom.functions.tokens import TokenCounter, word_tokens
 from reviewloom.operators import report
 from reviewloom.operators.chunks import MAX_TOKENS, preprocess_metrics, preprocess_reviews
-from reviewloom.operators.completion import ClientFactory, CompletionSettings, offline_client
+from reviewloom.operators.completion import ClientFactory, CompletionSettings
 from reviewloom.operators.generate import generate_reviews
 from reviewloom.operators.merge import analyze_reviews
 from reviewloom.operators.pages import product_metadata
@@ -32,7 +32,7 @@ class Run:
 
 def analyzed(
     reviews: DataFrame,
-    client_factory: ClientFactory = offline_client,
+    client_factory: ClientFactory,
     settings: CompletionSettings = CompletionSettings(),
     counter: TokenCounter = word_tokens,
     max_tokens: int = MAX_TOKENS,
@@ -94,7 +94,7 @@ def _run(
     products: DataFrame,
     base: str,
     generated_at: datetime,
-    client_factory: ClientFactory = offline_client,
+    client_factory: ClientFactory,
     settings: CompletionSettings = CompletionSettings(),
     counter: TokenCounter = word_tokens,
     max_tokens: int = MAX_TOKENS,

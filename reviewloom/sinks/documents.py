@@ -1,10 +1,10 @@
 """One JSON document per product, whatever its number of reviews.
 
-A document is a single line where its reviews fit in a bounded number of bytes:
-``<path>/lines``. A larger one is never gathered; its pieces are written in
-order by many tasks to ``<path>/parts/source_url=...``, and its files, joined in
-the order of their names, are the document. ``<path>/index`` lists all products
-with their totals.
+All documents have one layout: ``<path>/pieces`` holds rows of an address, a
+section, a review key and a text. Section 0 is the document up to its list of
+reviews, 1 a review, 2 the end; in this order, with commas between the reviews, the
+texts are the document. ``<path>/index`` lists all products with their totals.
+Nothing is gathered per product, at any size.
 """
 
 from __future__ import annotations
@@ -16,14 +16,8 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.times import iso, moment
 
-LINE_BYTES = 64 * 2**20
-# At most this many documents are larger than a line may be: the limit rises
-# with the total where needed, so the list of their keys can be broadcast.
-MAX_LARGE = 2_000_000
 PART_BYTES = 128 * 2**20
-# File names number the tasks with five digits; with more of them the order of
-# the names would no longer be the order of the pieces.
-MAX_TASKS = 99_999
+PIECE_ORDER = ("source_url", "section", "review_key")
 # Size of a review's JSON text, where the table has it from the run that stored it.
 STORED_BYTES = "json_bytes"
 NOT_WRITTEN = ("chunks", "review_key", STORED_BYTES)
@@ -35,6 +29,11 @@ def _json(*columns: str | Column) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
+def _address(column: str) -> Column:
+    """Reviews and pages without an address share the empty one."""
+    return F.coalesce(column, F.lit("")).alias("source_url")
+
+
 def _members(json_object: Column) -> Column:
     """A JSON object without its braces."""
     return F.substring(json_object, F.lit(2), F.length(json_object) - 2)
@@ -50,10 +49,11 @@ def metadata_json(products: DataFrame) -> DataFrame:
     specs = F.when(F.size(extra) > 0, _members(F.to_json(extra)))
     run = _members(_json("scraped_url", iso(F.col("scraped_at")).alias("scraped_at")))
     listed = products.select(
-        F.col("scraped_url").alias("source_url"),
+        _address("scraped_url"),
         F.concat(F.lit("{"), F.concat_ws(",", page, specs, run), F.lit("}")).alias("metadata"),
     )
-    # One object per address, also where a page is listed twice.
+    # One object per address, also where a page is listed twice: by rule the first in
+    # the order of their texts.
     return listed.groupBy("source_url").agg(F.min("metadata").alias("metadata"))
 
 
@@ -81,85 +81,49 @@ def _opening(generated_at: datetime) -> Column:
 
 
 def write_documents(
-    enriched: DataFrame,
-    products: DataFrame,
-    path: str,
-    generated_at: datetime,
-    line_bytes: int = LINE_BYTES,
+    enriched: DataFrame, products: DataFrame, path: str, generated_at: datetime
 ) -> str:
     """Write all documents. Reads ``enriched`` more than once: pass a stored table,
     with a review_key that is unique within its product."""
     spark = enriched.sparkSession
-    reviews = enriched.select("source_url", "review_key", review_json(enriched).alias("body"))
     sized = enriched if STORED_BYTES in enriched.columns else with_json_bytes(enriched)
-
-    totals = sized.groupBy("source_url").agg(
-        F.count("*").alias("total_reviews"),
-        F.sum(F.col(STORED_BYTES) + 1).alias("bytes"),
-        F.min("review_key").alias("first_key"),
+    totals = sized.groupBy(_address("source_url")).agg(
+        F.count("*").alias("total_reviews"), F.sum(F.col(STORED_BYTES) + 1).alias("bytes")
     )
     totals.join(metadata_json(products), "source_url", "left").write.parquet(f"{path}/index")
     index = spark.read.parquet(f"{path}/index")
-
     all_bytes = index.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    limit = max(line_bytes, all_bytes // MAX_LARGE)
-    large = index.where(F.col("bytes") > limit)
-    large_bytes = large.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-
-    small_reviews = reviews
-    if large_bytes:
-        small_reviews = reviews.join(
-            F.broadcast(large.select("source_url")), "source_url", "left_anti"
-        )
-        _write_parts(reviews, large, large_bytes, f"{path}/parts", generated_at)
-    _write_lines(small_reviews, index, f"{path}/lines", generated_at)
-    return path
 
-
-def _write_lines(reviews: DataFrame, index: DataFrame, path: str, generated_at: datetime):
-    # Every group here is within the byte limit checked by the caller.
-    gathered = reviews.groupBy("source_url").agg(
-        F.array_sort(F.collect_list(F.struct("review_key", "body")))["body"].alias("bodies")
-    )
-    document = F.concat(_opening(generated_at), F.array_join("bodies", ","), F.lit("]}"))
-    gathered.join(index, "source_url").select(document.alias("value")).write.text(path)
-
-
-def _write_parts(
-    reviews: DataFrame, large: DataFrame, large_bytes: int, path: str, generated_at: datetime
-):
-    no_key = F.lit(None).cast(reviews.schema["review_key"].dataType).alias("review_key")
+    no_key = F.lit(None).cast(enriched.schema["review_key"].dataType).alias("review_key")
 
     def edge(section: int, text: Column) -> DataFrame:
-        return large.select(
+        return index.select(
             "source_url", F.lit(section).alias("section"), no_key, text.alias("value")
         )
 
-    # Every review but the first is preceded by a comma.
-    separator = F.when(F.col("review_key") == F.col("first_key"), "").otherwise(",")
-    body = reviews.join(F.broadcast(large.select("source_url", "first_key")), "source_url").select(
-        "source_url",
+    bodies = enriched.select(
+        _address("source_url"),
         F.lit(1).alias("section"),
         "review_key",
-        F.concat(separator, "body").alias("value"),
+        review_json(enriched).alias("value"),
     )
-    pieces = edge(0, _opening(generated_at)).union(body).union(edge(2, F.lit("]}")))
-    order = ("source_url", "section", "review_key")
+    pieces = edge(0, _opening(generated_at)).union(bodies).union(edge(2, F.lit("]}")))
     # The range covers the review key, so a product is spread over many tasks.
-    tasks = min(max(1, -(-large_bytes // PART_BYTES)), MAX_TASKS)
-    (
-        pieces.repartitionByRange(tasks, *order)
-        .sortWithinPartitions(*order)
-        .select("source_url", "value")
-        .write.partitionBy("source_url")
-        .text(path)
-    )
+    tasks = all_bytes // PART_BYTES + 1
+    ordered = pieces.repartitionByRange(tasks, *PIECE_ORDER).sortWithinPartitions(*PIECE_ORDER)
+    ordered.write.parquet(f"{path}/pieces")
+    return path
 
 
-def read_lines(spark: SparkSession, path: str, reviews: str) -> DataFrame:
-    """The single-line documents with the reviews' fields as a DDL string."""
-    schema = (
-        "product_metadata map<string,string>, total_reviews bigint, "
-        f"generated_at string, reviews array<struct<{reviews}>>"
-    )
-    return spark.read.schema(schema).json(f"{path}/lines")
+def read_openings(spark: SparkSession, path: str) -> DataFrame:
+    """source_url and the fields that stand before the reviews, for every document."""
+    schema = "product_metadata map<string,string>, total_reviews bigint, generated_at string"
+    opening = F.from_json(F.concat("value", F.lit("]}")), schema)
+    pieces = spark.read.parquet(f"{path}/pieces").where("section = 0")
+    return pieces.select("source_url", opening.alias("opening")).select("source_url", "opening.*")
+
+
+def read_reviews(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    """source_url, review_key and review (its fields as a DDL string) of every document."""
+    pieces = spark.read.parquet(f"{path}/pieces").where("section = 1")
+    return pieces.select("source_url", "review_key", F.from_json("value", fields).alias("review"))

@@ -37,8 +37,12 @@ def fetched(pages: DataFrame, url: str | None = None) -> DataFrame:
 def run_folder(spark: SparkSession) -> str:
     """A new folder on the storage all executors share.
 
-    The cluster names that storage in spark.checkpoint.dir; only where it is
-    unset, as on one machine, a temporary folder takes its place.
+    The cluster names that storage in spark.checkpoint.dir. Only on one machine may it
+    be unset; a temporary folder then takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp()
     return f"{base.rstrip('/')}/reviewloom-{uuid.uuid4().hex}"

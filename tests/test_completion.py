@@ -10,7 +10,7 @@ from reviewloom.operators.completion import (
     complete_chunks,
     error_class,
 )
-from reviewloom.operators.offline_client import canned_answer, reviewed_text
+from checks.offline_client import canned_answer, offline_client, reviewed_text
 from reviewloom.operators.prompts import build_prompt
 
 PROMPT = """You are a product review analyst. Analyze the following customer review and return a structured analysis.
@@ -128,10 +128,10 @@ def chunk_rows(spark):
 
 
 def test_one_answer_per_chunk(spark):
-    found = complete_chunks(chunk_rows(spark)).collect()
+    found = complete_chunks(chunk_rows(spark), offline_client).collect()
     assert len(found) == 60
     assert all(row.raw_response == canned_answer(row.chunk) for row in found)
-    kept = {row.review_key for row in answered(complete_chunks(chunk_rows(spark))).collect()}
+    kept = {row.review_key for row in answered(complete_chunks(chunk_rows(spark), offline_client)).collect()}
     assert kept == {row.review_key for row in found if row.raw_response}
     assert 0 < len(kept) < 60
 
@@ -151,7 +151,7 @@ def test_answers_in_the_row(spark):
 
 def test_filter_does_not_repeat_the_call(spark):
     plan = (
-        complete_chunks(chunk_rows(spark))
+        complete_chunks(chunk_rows(spark), offline_client)
         .where("raw_response is not null and attempts = 1")
         ._jdf.queryExecution()
         .executedPlan()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.operators import merge
-from reviewloom.operators.offline_client import reviewed_text
+from checks.offline_client import reviewed_text
 
 
 @pytest.mark.parametrize(

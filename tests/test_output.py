@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from reviewloom.operators import report
 from reviewloom.plans.workflow import run_pages, run_reviews
 from reviewloom.schemas import EXPORT_COLUMNS
-from reviewloom.sinks.documents import write_documents
+from checks.offline_client import offline_client
+from reviewloom.sinks.documents import PIECE_ORDER, write_documents
 from reviewloom.sinks.flat import export_rows, read_csv, write_csv
 
 WHEN = datetime(2024, 5, 20, 14, 32, 1)
@@ -80,17 +81,15 @@ def test_csv_bytes_and_round_trip(spark, tmp_path):
         write_csv(export, path)
 
 
-def documents(path):
+def documents(spark, path):
     """All documents of a written folder, by address."""
-    texts = []
-    for file in sorted(Path(path, "lines").glob("part-*")):
-        texts += file.read_text(encoding="utf-8").splitlines()
-    for folder in Path(path).glob("parts/source_url=*"):
-        files = sorted(folder.glob("part-*"))
-        texts.append("".join(f.read_text(encoding="utf-8") for f in files))
-    found = [json.loads(text) for text in texts if text]
-    assert len({d["product_metadata"]["scraped_url"] for d in found}) == len(found)
-    return {d["product_metadata"]["scraped_url"]: d for d in found}
+    texts = {}
+    for row in spark.read.parquet(f"{path}/pieces").orderBy(*PIECE_ORDER).collect():
+        texts.setdefault(row.source_url, ([], [], []))[row.section].append(row.value)
+    return {
+        url: json.loads(opening[0] + ",".join(bodies) + closing[0])
+        for url, (opening, bodies, closing) in texts.items()
+    }
 
 
 @pytest.fixture(scope="module")
@@ -102,15 +101,15 @@ def skewed(spark):
     return enriched_rows(spark, rows)
 
 
-@pytest.mark.parametrize("line_bytes", [2**26, 20_000, 1])
-def test_documents(spark, skewed, tmp_path, line_bytes, monkeypatch):
-    monkeypatch.setattr("reviewloom.sinks.documents.PART_BYTES", 100_000)
+@pytest.mark.parametrize("part_bytes", [2**27, 100_000])
+def test_documents(spark, skewed, tmp_path, part_bytes, monkeypatch):
+    monkeypatch.setattr("reviewloom.sinks.documents.PART_BYTES", part_bytes)
     urls = ["http://hot/?a=1", *[f"http://cold/{i}" for i in range(20)]]
     path = str(tmp_path / "json")
     # A page listed twice does not double anything.
     products = product_rows(spark, *urls, urls[3])
-    write_documents(skewed, products, path, WHEN, line_bytes)
-    found = documents(path)
+    write_documents(skewed, products, path, WHEN)
+    found = documents(spark, path)
     assert set(found) == set(urls)
     hot = found["http://hot/?a=1"]
     assert hot["total_reviews"] == len(hot["reviews"]) == 2000
@@ -127,12 +126,19 @@ def test_documents(spark, skewed, tmp_path, line_bytes, monkeypatch):
     review = found["http://cold/4"]["reviews"][0]
     assert "chunks" not in review and "review_key" not in review
     assert review["key_points"] == ["a", "b"] and review["rating"] is None
-    if line_bytes == 1:
-        assert len(list(Path(path).glob("parts/source_url=*"))) == 21
-    if line_bytes < 2**26:
+    if part_bytes < 2**27:
         # The large document was written by several tasks.
-        hot_folder = next(Path(path).glob("parts/source_url=*hot*"))
-        assert len(list(hot_folder.glob("part-*"))) > 3
+        hot = spark.read.parquet(f"{path}/pieces").where("source_url like '%hot%'")
+        assert hot.select("_metadata.file_name").distinct().count() > 3
+
+
+def test_documents_without_address(spark, tmp_path):
+    rows = [(1, None, "a", "Mixed", None, 3), (2, None, "b", "Mixed", None, 3), (3, "u", "c", None, None, 1)]
+    path = str(tmp_path / "json")
+    write_documents(enriched_rows(spark, rows), product_rows(spark, "u"), path, WHEN)
+    found = documents(spark, path)
+    assert found[""]["total_reviews"] == 2 == len(found[""]["reviews"])
+    assert found[""]["product_metadata"] == {} and len(found["u"]["reviews"]) == 1
 
 
 def test_index_lists_all(spark, skewed, tmp_path):
@@ -190,10 +196,10 @@ def test_run_from_pages(spark, tmp_path):
         ],
         "url string, html string",
     )
-    run = run_pages(pages, str(tmp_path), "first", WHEN)
+    run = run_pages(pages, str(tmp_path), "first", WHEN, client_factory=offline_client)
     assert spark.read.parquet(run.enriched_path).count() == 14
     assert read_csv(spark, run.csv_path).count() == 14
-    found = documents(run.json_path)
+    found = documents(spark, run.json_path)
     assert {url: d["total_reviews"] for url, d in found.items()} == {
         "http://x/1": 7,
         "http://x/2": 7,
@@ -205,9 +211,9 @@ def test_run_from_pages(spark, tmp_path):
     assert sizes["samples"] == 6 and sizes["preprocessing"] == 1
     # A second run under the same name is an error, not an overwrite.
     with pytest.raises(Exception, match="exist"):
-        run_pages(pages, str(tmp_path), "first", WHEN)
-    one = run_pages(pages, str(tmp_path), "second", WHEN, url="http://x/2")
-    assert list(documents(one.json_path)) == ["http://x/2"]
+        run_pages(pages, str(tmp_path), "first", WHEN, client_factory=offline_client)
+    one = run_pages(pages, str(tmp_path), "second", WHEN, client_factory=offline_client, url="http://x/2")
+    assert list(documents(spark, one.json_path)) == ["http://x/2"]
 
 
 def test_nothing_to_do_is_an_error(spark, tmp_path):
@@ -216,4 +222,4 @@ def test_nothing_to_do_is_an_error(spark, tmp_path):
         "source_url",
     )
     with pytest.raises(ValueError, match="no reviews"):
-        run_reviews(reviews, product_rows(spark), str(tmp_path), "none", WHEN)
+        run_reviews(reviews, product_rows(spark), str(tmp_path), "none", WHEN, client_factory=offline_client)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from checks.offline_client import offline_client
 from reviewloom.operators import report
 from reviewloom.plans.workflow import analyzed
 from reviewloom.sources.tables import run_folder, spread
@@ -37,7 +38,7 @@ def many_splits(spark, tmp_path_factory):
 
 
 def test_analysis_is_one_narrow_stage(spark, many_splits):
-    text = plan(analyzed(many_splits))
+    text = plan(analyzed(many_splits, offline_client))
     assert "Exchange" not in text
     assert text.count("ArrowEvalPython") == 1
     # Cleaning is written once, so it runs once.
@@ -45,12 +46,12 @@ def test_analysis_is_one_narrow_stage(spark, many_splits):
 
 
 def test_tasks_deal_reviews_out(spark, many_splits):
-    assert plan(analyzed(many_splits, tasks=13)).count("Exchange") == 1
+    assert plan(analyzed(many_splits, offline_client, tasks=13)).count("Exchange") == 1
 
 
 def test_report_reads_only_its_columns(spark, many_splits, tmp_path):
     path = str(tmp_path / "enriched")
-    analyzed(many_splits).write.parquet(path)
+    analyzed(many_splits, offline_client).write.parquet(path)
     stats = plan(report.report_stats(spark.read.parquet(path)))
     schema = re.search(r"ReadSchema: struct<(.*?)>", stats).group(1)
     assert {field.split(":")[0] for field in schema.split(",")} == {

@@ -1,10 +1,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle
+from checks import queries as registered
 from checks.compare import differences, duck
 
 SMALL = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -13,12 +15,12 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE) == set(entry.queries())
+    assert set(ORACLE) == set(registered.QUERIES)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", registered.QUERIES)
 def test_query_equals_sql(spark, connection, name):
-    assert differences(entry.queries()[name](spark, SMALL), connection, ORACLE[name]) is None
+    assert differences(registered.QUERIES[name](spark, SMALL), connection, ORACLE[name]) is None
 
 
 def test_entry(spark):
