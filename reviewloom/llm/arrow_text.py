@@ -34,7 +34,9 @@ def worker_state() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
-def slices(batches, column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+def slices(
+    batches, column: str = "text", size: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Slices of the batches with their texts; a null text is the empty one."""
     for batch in batches:
         texts = pc.fill_null(batch.column(column).cast(pa.large_string()), "")
@@ -44,7 +46,7 @@ def slices(batches, column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.A
         first = 0
         while first < len(texts):
             before = ends[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+            last = max(first + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(first, last - first), texts.slice(first, last - first)
             first = last
 
