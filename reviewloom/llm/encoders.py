@@ -44,11 +44,11 @@ class Vocabulary:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            self.file = json.load(file)
-        model = self.file["model"]
+            content = json.load(file)
+        model = content["model"]
         self.suffix = model.get("end_of_word_suffix") or ""
         self.tokens: dict[str, int] = model["vocab"]
-        self.specials = {x["content"]: x["id"] for x in self.file["added_tokens"]}
+        self.specials = {x["content"]: x["id"] for x in content["added_tokens"]}
         letters = byte_letters()
         self.ranks = {}
         for token, number in self.tokens.items():

@@ -33,8 +33,11 @@ SHARDS = 8
 
 def op1_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    lexicon = lexicon_bpe.build_lexicon(docs, WORD_BPE, Workspace(spark))
-    encoded = lexicon_bpe.encode_texts(docs, WORD_BPE, lexicon)
+    workspace = Workspace(spark)
+    lexicon = lexicon_bpe.build_lexicon(docs, WORD_BPE, workspace)
+    # Stored in between: a task has one Python worker at a time, and decoding starts anew
+    # from files that outlive an executor.
+    encoded = workspace.keep(lexicon_bpe.encode_texts(docs, WORD_BPE, lexicon), "encoded")
     return lexicon_bpe.decode_ids(encoded, WORD_BPE).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
