@@ -239,6 +239,20 @@ def test_alignment():
         assert found == (wanted if wanted <= reach else None)
 
 
+def test_counts_never_exceed_the_distance():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 60, 70, 500, 20_000):
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for share in (0, 0.1, 0.5, 1):
+            b = np.append(a[rng.random(n) >= share], rng.integers(0, 1 << 63, 9).astype(np.uint64))
+            least = order_minhash.least_distance(order_minhash.counts(a), order_minhash.counts(b))
+            assert least <= len(np.setxor1d(a, b))
+            if share == 0.5 and n >= 500:
+                assert least > order_minhash.link_limit(len(a) + len(b))
+    many = np.zeros(3000, np.uint64)
+    assert order_minhash.least_distance(order_minhash.counts(many), order_minhash.counts(many[:300])) <= 2700
+
+
 def test_near_duplicates(spark, odd, empty):
     rng = np.random.default_rng(4)
     base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
