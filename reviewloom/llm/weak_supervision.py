@@ -20,9 +20,10 @@ from reviewloom.llm.text_signals import Signals, signals
 
 KEEP_FROM = 0.5
 EM_STEPS = 100
-# A rule is taken to speak ill of at most one good document in a hundred, and never to
-# be right always; of bad ones it may see one kind only and call the others good.
-LEAST_ACCURACY, MOST_ACCURACY = {"good": 0.99, "bad": 0.03}, 0.999
+# Both accuracies are estimated. No rule is right or wrong always; of good documents it
+# is right about half at least, which says which of the two sides is the good one. Of bad
+# ones it may see one kind only and call all others good.
+LEAST_ACCURACY, MOST_ACCURACY = {"good": 0.5, "bad": 0.001}, 0.999
 PRIOR_WEIGHT = 10.0
 LEAST_WORDS = 10
 MOST_REPEAT_PERCENT = 20

@@ -300,6 +300,20 @@ def test_label_model_finds_the_bad():
     assert (found == good).mean() > 0.97
 
 
+def test_label_model_with_a_rule_wrong_on_a_third_of_the_good():
+    rng = np.random.default_rng(7)
+    good = rng.random(20_000) < 0.9
+    votes = np.where(rng.random((20_000, 9)) < np.where(good[:, None], 0.002, 0.5), -1, 1)
+    votes[good & (rng.random(20_000) < 1 / 3), 6] = -1
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = weak_supervision.estimate(patterns, counts.astype(float))
+    alone = np.where(np.arange(9) == 6, -1, 1)[None, :]
+    assert model.posterior(alone)[0] > 0.99
+    assert abs(model.right_good[6] - 2 / 3) < 0.02 and abs(model.prior - 0.9) < 0.02
+    found = model.posterior(votes) >= 0.5
+    assert found[good].mean() > 0.99 and found[~good].mean() < 0.06
+
+
 def test_additive_model(spark, odd, empty):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
