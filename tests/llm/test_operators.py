@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -273,6 +274,35 @@ def test_near_duplicates(spark, odd, empty):
     assert order_minhash.near_duplicates(empty, Workspace(spark)).count() == 0
 
 
+def brute_roots(texts):
+    """Smallest node of its component for each node, of links by the rule."""
+    found = {k: order_minhash.shingles(t, order_minhash._Hashes()).tolist() for k, t in texts.items()}
+    roots = {k: k for k in texts}
+    for a, b in itertools.combinations(sorted(texts), 2):
+        shared = lcs(found[a], found[b])
+        if 5 * shared >= 4 * (len(found[a]) + len(found[b]) - shared):
+            low, high = sorted((roots[a], roots[b]))
+            roots = {k: low if r == high else r for k, r in roots.items()}
+    return roots
+
+
+@pytest.mark.parametrize("size", [order_minhash.FULL_BUCKET, order_minhash.FULL_BUCKET + 1])
+def test_chain_at_the_limit_in_buckets_of_any_size(spark, size):
+    words = [f"w{i}" for i in range(56)]
+    texts = {b"0": words, b"1": words[:54], b"2": words[:44]}
+    texts |= {f"9{i:02}".encode(): [f"x{i}y{j}" for j in range(40)] for i in range(size - 3)}
+    texts = {k: " ".join(t) for k, t in texts.items()}
+    found = {k: order_minhash.shingles(t, order_minhash._Hashes()) for k, t in texts.items()}
+    links = order_minhash.Links(Workspace(spark))
+    rows = [(k, texts[k], len(x), order_minhash.counts(x)) for k, x in found.items()]
+    frame = spark.createDataFrame(rows, "node binary, text string, n bigint, counts binary")
+    links.texts, links.counts = frame.select("node", "text"), frame.select("node", "n", "counts")
+    entries = frame.selectExpr("1l bucket", "node", "n", "node root")
+    roots = {bytes(r.node): bytes(r.root) for r in links.find(links.buckets(entries)).collect()}
+    wanted = brute_roots(texts)
+    assert wanted[b"2"] == b"0" and {k: roots.get(k, k) for k in texts} == wanted
+
+
 def test_base_counts(odd, empty):
     rows = weak_supervision.measure_documents(odd).collect()
 
