@@ -303,6 +303,31 @@ def test_chain_at_the_limit_in_buckets_of_any_size(spark, size):
     assert wanted[b"2"] == b"0" and {k: roots.get(k, k) for k in texts} == wanted
 
 
+def test_all_links_of_short_texts_are_found(spark):
+    rng = np.random.default_rng(8)
+    pairs, texts = [], {}
+    # Pairs of n and n + k shingles, at 0.8 or just above and just below, cut off at the
+    # end or the start; from 10 shingles on also with words changed in place.
+    shapes = [(n, k, cut) for n in range(4, 65) for k in (n // 4, n // 4 + 1) for cut in (0, 1)]
+    shapes += [(n, 0, i) for n in range(14, 65, 2) for i in range(6)]
+    for number, (n, k, cut) in enumerate(shapes):
+        words = [f"p{number}w{i}" for i in range(n + k + 4)]
+        other = words[: n + 4] if cut else words[k:]
+        if not k:
+            other = list(words)
+            other[rng.integers(0, len(words))] = "changed"
+        pair = 2 * number, 2 * number + 1
+        pairs.append(pair)
+        texts |= dict(zip(pair, (" ".join(words), " ".join(other))))
+    docs = spark.createDataFrame([(i, t, 0, 0, "") for i, t in texts.items()], SCHEMA)
+    found = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs, Workspace(spark)).collect()}
+    wanted = {}
+    for a, b in pairs:
+        wanted |= brute_roots({a: texts[a], b: texts[b]})
+    assert found == wanted
+    assert sum(wanted[b] == a for a, b in pairs) > 200
+
+
 def test_base_counts(odd, empty):
     rows = weak_supervision.measure_documents(odd).collect()
 
