@@ -41,7 +41,57 @@ select conv_id,
 from marked group by conv_id
 """
 
+# Near words share what is left without a letter: of both at one place, or of one and the
+# whole other. The checksum goes byte by byte over its usual table.
+SPELLING_VARIANTS = r"""
+with recursive crc_table as (
+  select list(value order by byte) as crc from (
+    select byte, list_reduce([byte] || list_transform(range(8), lambda i: 0::bigint),
+      lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as value
+    from (select unnest(range(256))::bigint as byte))
+), run as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run,
+    count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) as run from documents)
+  group by all
+), summed as (
+  select run, n, xor(list_reduce([4294967295::bigint] || list_transform(
+      string_split(regexp_replace(hex(encode(concat(doc_id, ':', run))), '(..)', '\1 ', 'g').rtrim(), ' '),
+      lambda h: ('0x' || h)::bigint),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) as h
+  from run, crc_table
+), word as (
+  select case when h % 199 = 0
+    then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2)
+    else run end as word, cast(sum(n) as bigint) as n
+  from summed group by 1 having length(word) >= 6 and sum(n) >= 5
+), without as (
+  select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from word)
+), link as (
+  select distinct a.word, a.n, b.word as other, b.n as other_n
+  from without a join without b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select w.word, w.n, v.word, v.n from without w join word v on w.rest = v.word
+  union select v.word, v.n, w.word, w.n from without w join word v on w.rest = v.word
+), best as (
+  select word, count(*) as n_near, arg_min(other, (-other_n, other)) as other, max(other_n) as other_n
+  from link group by word
+), judged as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near,
+    case when other_n >= 5 * w.n then other end as form,
+    case when other_n >= 5 * w.n then other_n end as form_n
+  from word w left join best using (word)
+), chain as (
+  select word, word as root, form as next from judged
+  union all
+  select c.word, j.word, j.form from chain c join judged j on c.next = j.word
+)
+select word, form, root, n, n_near, form_n
+from judged join (select word, root from chain where next is null) using (word)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_block_topk": BLOCK_TOPK,
     "op4_chat_parts": CHAT_PARTS,
+    "op11_spelling_variants": SPELLING_VARIANTS,
 }

@@ -15,9 +15,11 @@ from reviewloom.llm import (
     order_minhash,
     pattern_packing,
     ranked_bytes,
+    spelling,
     splitters,
     token_counts,
     weak_supervision,
+    whitening,
 )
 from reviewloom.llm.tables import Workspace, table
 
@@ -143,6 +145,14 @@ def op10_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 QUERIES = {
     "op1_bpe_transducer": op1_bpe_transducer,
     "op2_block_topk": op2_block_topk,
@@ -154,5 +164,7 @@ QUERIES = {
     "op8_weak_supervision": op8_weak_supervision,
     "op9_pattern_packing": op9_pattern_packing,
     "op10_sampled_splitters": op10_sampled_splitters,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
