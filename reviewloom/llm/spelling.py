@@ -14,14 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.tables import Workspace
 
-LETTERS = "[A-Za-zÀ-ÿ]+"
+LETTERS = "[A-Za-zÀ-ÿ]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Of the runs in documents, one in so many loses a letter.
 DELETE_ONE_IN = 199
@@ -29,22 +28,27 @@ LEAST_LETTERS = 6
 LEAST_OCCURRENCES = 5
 # A form occurs so many times as often as its variant.
 FORM_FACTOR = 5
-# Words of a block, and letters of one with long words.
-BLOCK = 512
+# Words of a block, which moves as one row, and of a part of it, which a product takes;
+# letters of a block with long words.
+BLOCK, PART = 4096, 256
 BLOCK_LETTERS = 1 << 20
 # Letters by whose counts words are put in order.
 COMMON = "eainorst"
+PAIRS_PER_TASK = 32
+# Parts of decoded blocks that a task keeps, in letters.
+KEPT_LETTERS = 1 << 23
 
-BLOCKS = "block bigint, length int, low binary, high binary, words array<string>, n array<bigint>"
+BLOCKS = "block bigint, length int, low binary, high binary, letters binary, n binary"
 LINKS = "word string, n bigint, other string, other_n bigint"
 
 
-def runs(docs: DataFrame) -> DataFrame:
-    """``run`` of every occurrence: the maximal runs of letters, A to Z lower-case, some of
-    them without one letter by the checksum of doc_id and run."""
+def runs(docs: DataFrame, least: int = 1) -> DataFrame:
+    """``run`` of every occurrence: the maximal runs of at least so many letters, A to Z
+    lower-case, some of them without one letter by the checksum of doc_id and run."""
+    pattern = F.lit(f"{LETTERS}{{{least},}}+")
     found = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")).alias("id"),
-        F.explode(F.regexp_extract_all(F.col("text").cast("string"), F.lit(LETTERS), F.lit(0))).alias("run"),
+        F.explode(F.regexp_extract_all(F.col("text").cast("string"), pattern, F.lit(0))).alias("run"),
     )
     lower = found.select("id", F.translate("run", UPPER, LOWER).alias("run"))
     sums = lower.select("run", F.crc32(F.concat_ws(":", "id", "run").cast("binary")).alias("sum"))
@@ -59,14 +63,14 @@ def runs(docs: DataFrame) -> DataFrame:
 
 def counted_words(docs: DataFrame) -> DataFrame:
     """word and n of the runs with enough letters that occur often enough."""
-    long = runs(docs).where(F.char_length("run") >= LEAST_LETTERS)
+    long = runs(docs, LEAST_LETTERS).where(F.char_length("run") >= LEAST_LETTERS)
     counts = long.groupBy(F.col("run").alias("word")).agg(F.count("*").alias("n"))
     return counts.where(F.col("n") >= LEAST_OCCURRENCES)
 
 
-def letter_numbers(words: list[str], length: int) -> np.ndarray:
-    """Letters of words of one length by number: a to z, then from U+00C0 on."""
-    codes = np.frombuffer("".join(words).encode("latin-1"), np.uint8).reshape(len(words), length)
+def letter_numbers(letters: bytes, length: int) -> np.ndarray:
+    """Letters of words of one length, a row each, by number: a to z, then from U+00C0 on."""
+    codes = np.frombuffer(letters, np.uint8).reshape(-1, length)
     return np.where(codes >= 0xC0, codes - (0xC0 - 26), codes - ord("a")).astype(np.uint8)
 
 
@@ -74,13 +78,27 @@ def letter_counts(numbers: np.ndarray) -> np.ndarray:
     """How often each of the 90 letters stands in each word."""
     rows = np.repeat(np.arange(len(numbers)) * 90, numbers.shape[1])
     found = np.bincount(rows + numbers.ravel(), minlength=len(numbers) * 90)
-    return found.reshape(-1, 90).astype(float)
+    # Squares stay exact in the shorter kind of number up to words of 2,000 letters.
+    return found.reshape(-1, 90).astype(np.float32 if numbers.shape[1] <= 2000 else np.float64)
+
+
+def apart(low_a, high_a, low_b, high_b) -> np.ndarray:
+    """The least squared distance that ranges of counts leave open."""
+    gaps = np.maximum(np.maximum(low_b - high_a, low_a - high_b), 0)
+    return (gaps * gaps).sum(axis=-1)
 
 
 def within_two(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in a and b of all rows with a squared distance of at most two, by one product."""
-    distances = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
-    return np.nonzero(distances <= 2)
+    """Places in a and b of all rows with a squared distance of at most two.
+
+    One product of blocks has all distances: |a|^2 + |b|^2 - 2ab, the squares as columns.
+    """
+    both = a.any(axis=0) & b.any(axis=0)
+    ones = [np.ones((len(x), 1), x.dtype) for x in (a, b)]
+    squares = [(x * x).sum(axis=1, keepdims=True) for x in (a, b)]
+    left = np.hstack([-2 * a[:, both], squares[0], ones[0]])
+    right = np.hstack([b[:, both], ones[1], squares[1]])
+    return np.nonzero(left @ right.T <= 2)
 
 
 def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -117,15 +135,16 @@ def blocks(words: DataFrame) -> DataFrame:
                 last = int(np.searchsorted(lengths, length, "right"))
                 last = min(last, first + max(1, min(BLOCK, BLOCK_LETTERS // length)))
                 part = batch.slice(first, last - first)
-                counted = letter_counts(letter_numbers(part.column("word").to_pylist(), length))
+                letters = "".join(part.column("word").to_pylist()).encode("latin-1")
+                counts = letter_counts(letter_numbers(letters, length)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([number]),
                         pa.array([length], pa.int32()),
-                        pa.array([counted.min(0).tobytes()]),
-                        pa.array([counted.max(0).tobytes()]),
-                        pa.array([part.column("word").to_pylist()], pa.list_(pa.string())),
-                        pa.array([part.column("n").to_pylist()], pa.list_(pa.int64())),
+                        pa.array([counts.min(0).tobytes()]),
+                        pa.array([counts.max(0).tobytes()]),
+                        pa.array([letters]),
+                        pa.array([part.column("n").to_numpy().tobytes()]),
                     ],
                     [field.split()[0] for field in BLOCKS.split(", ")],
                 )
@@ -151,12 +170,11 @@ def meetings(held: DataFrame) -> DataFrame:
 
     def open_(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low_a, high_a, low_b, high_b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist())).reshape(-1, 90)
+            ranges = [
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32).reshape(-1, 90)
                 for c in ("low_a", "high_a", "low_b", "high_b")
-            )
-            apart = np.maximum(np.maximum(low_b - high_a, low_a - high_b), 0)
-            near = pa.array((apart * apart).sum(axis=1) <= 2)
+            ]
+            near = pa.array(apart(*ranges) <= 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(near), batch.column("b").filter(near)], ["a", "b"]
             )
@@ -165,40 +183,73 @@ def meetings(held: DataFrame) -> DataFrame:
     return narrow.mapInArrow(open_, "a bigint, b bigint")
 
 
+class Block:
+    """A block's words as numbers and counts, with the ranges of its parts."""
+
+    def __init__(self, letters: bytes, n: bytes, length: int):
+        self.letters, self.length = letters, length
+        self.n = np.frombuffer(n, np.int64)
+        self.numbers = letter_numbers(letters, length)
+        self.counts = letter_counts(self.numbers)
+        starts = np.arange(0, len(self.n), PART)
+        self.low = np.minimum.reduceat(self.counts, starts)
+        self.high = np.maximum.reduceat(self.counts, starts)
+
+    def words(self, places: np.ndarray) -> pa.Array:
+        rows = np.frombuffer(self.letters, np.uint8).reshape(-1, self.length)[places]
+        text, length = rows.tobytes().decode("latin-1"), self.length
+        return pa.array([text[i : i + length] for i in range(0, len(text), length)], pa.string())
+
+
+def block_links(a: Block, b: Block, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words of two blocks that are one edit apart, each pair once."""
+    near = apart(a.low[:, None], a.high[:, None], b.low[None], b.high[None]) <= 2
+    found = []
+    for i, j in np.argwhere(np.triu(near) if same else near).tolist():
+        left, right = within_two(*(x.counts[k * PART : (k + 1) * PART] for x, k in ((a, i), (b, j))))
+        left, right = left + i * PART, right + j * PART
+        if same and i == j:
+            left, right = left[left < right], right[left < right]
+        edits = one_edit(a.numbers[left], b.numbers[right])
+        found.append((left[edits], right[edits]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+
+
 def _compare(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(len(batch)):
-            row = batch.slice(i, 1)
-            words = [row.column(c)[0].as_py() for c in ("words_a", "words_b")]
-            n = [row.column(c)[0].values.to_numpy() for c in ("n_a", "n_b")]
-            a, b = (letter_numbers(w, len(w[0])) for w in words)
-            left, right = within_two(letter_counts(a), letter_counts(b))
-            same = row.column("a")[0].as_py() == row.column("b")[0].as_py()
-            if same:
-                once = left < right
-                left, right = left[once], right[once]
-            near = one_edit(a[left], b[right])
-            left, right = left[near], right[near]
-            one, other = pa.array(words[0]).take(pa.array(left)), pa.array(words[1]).take(pa.array(right))
-            one_n, other_n = pa.array(n[0][left]), pa.array(n[1][right])
-            # Both directions, so that a word's links are in one place.
-            for columns in ([one, one_n, other, other_n], [other, other_n, one, one_n]):
-                columns = [pc.cast(c, k) for c, k in zip(columns, (pa.string(), pa.int64()) * 2)]
-                yield pa.RecordBatch.from_arrays(
-                    columns, [field.split()[0] for field in LINKS.split(", ")]
-                )
+    kept: dict[int, Block] = {}
+    for row in (r for batch in batches for i in range(len(batch)) for r in batch.slice(i, 1).to_pylist()):
+        if sum(len(x.letters) for x in kept.values()) > KEPT_LETTERS:
+            kept.clear()
+        for side, more in (("a", 0), ("b", row["longer"])):
+            if row[side] not in kept:
+                kept[row[side]] = Block(row[f"letters_{side}"], row[f"n_{side}"], row["length"] + more)
+        a, b = kept[row["a"]], kept[row["b"]]
+        left, right = block_links(a, b, row["a"] == row["b"])
+        one, other = (a.words(left), pa.array(a.n[left])), (b.words(right), pa.array(b.n[right]))
+        # Both directions, so that a word's links are in one place.
+        for columns in ([*one, *other], [*other, *one]):
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in LINKS.split(", ")])
 
 
 def near_words(words: DataFrame, workspace: Workspace) -> DataFrame:
     """Rows of LINKS: every pair of words one edit apart, in both directions."""
     held = workspace.keep(blocks(words), "blocks")
     pairs = workspace.keep(meetings(held), "meetings")
+    # Pairs are little to read and much to work on: so many to a task.
+    tasks = pairs.count() // PAIRS_PER_TASK + 1
     for side in "ab":
         named = held.select(
-            F.col("block").alias(side), F.col("words").alias(f"words_{side}"), F.col("n").alias(f"n_{side}")
-        )
-        pairs = pairs.join(named, side)
-    return pairs.select("a", "b", "words_a", "n_a", "words_b", "n_b").mapInArrow(_compare, LINKS)
+            F.col("block").alias(side), F.col("length").alias(f"length_{side}"),
+            F.col("letters").alias(f"letters_{side}"), F.col("n").alias(f"n_{side}"),
+        )
+        pairs = pairs.repartition(tasks, side).join(named, side)
+    met = pairs.select(
+        "a", "b", F.col("length_a").alias("length"), (F.col("length_b") - F.col("length_a")).alias("longer"),
+        "letters_a", "n_a", "letters_b", "n_b",
+    )
+    return met.mapInArrow(_compare, LINKS)
 
 
 def roots(forms: DataFrame, workspace: Workspace) -> DataFrame:
