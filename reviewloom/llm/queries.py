@@ -17,6 +17,7 @@ from reviewloom.llm import (
     ranked_bytes,
     spelling,
     splitters,
+    suffix_dedup,
     token_counts,
     weak_supervision,
     whitening,
@@ -149,6 +150,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_repeats(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"), Workspace(spark))
 
@@ -165,6 +170,7 @@ QUERIES = {
     "op9_pattern_packing": op9_pattern_packing,
     "op10_sampled_splitters": op10_sampled_splitters,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
