@@ -8,10 +8,11 @@ of the prefixes that neighbours share are updated on the way. Neighbours that sh
 symbols hold the same window.
 
 To deal the collection over tasks, windows are parted by content. Of the k-grams of a
-window the one with the smallest hash names its bucket, so equal windows meet in one
-bucket, and neighbouring windows, which mostly have the same smallest k-gram, travel
-together as a piece. A bucket's transform is that of its pieces. K-grams that a sample
-shows to be frequent come last in that order: no bucket belongs to a common phrase.
+window the one with the smallest hash is its key, so equal windows have equal keys, and
+neighbouring windows, which mostly have the same one, stay together as a piece. Keys are
+dealt to buckets. First only keys travel, to learn which of them one document only has;
+then the pieces with other keys do, and a bucket's transform is that of its pieces. K-grams
+that a sample shows to be frequent come last in the order: no key belongs to a common phrase.
 """
 
 from __future__ import annotations
@@ -37,17 +38,22 @@ SLICE_BYTES = 2 << 20
 # Windows of a piece at most; a text that repeats itself has one smallest gram for long.
 PIECE_WINDOWS = 64
 # Text of all windows of a bucket (pieces overlap, so that they hold some four times it).
-BUCKET_BYTES = 6 << 20
+BUCKET_BYTES = 2 << 20
 # Symbols of a transform at most, but for those of one gram.
-TRANSFORM_SYMBOLS = 2 << 20
+TRANSFORM_SYMBOLS = 1 << 18
 # The sample that finds frequent grams: documents, and the share of them that have one.
 SAMPLE, FREQUENT_SHARE = 1000, 0.01
-FREQUENT_BITS = 20
+FREQUENT_BITS, SAMPLE_TASKS = 20, 8
+# Windows that are hashed at once: what fits a processor's cache.
+HASHED_AT_ONCE = 1 << 15
+# Bits of a key that do not travel when only keys do; those that look alike may meet.
+UNSENT_BITS = 16
 
 NO_ID = np.iinfo(np.int64).max
 SLICES = "slice bigint, size bigint, ids binary, known binary, lengths binary, body binary"
+# What slices send to buckets, and what these answer.
 SENT = "bucket bigint, slice bigint, segment int, payload binary"
-ANSWERS = "slice bigint, segment int, bucket bigint, firsts binary"
+ANSWERS = "slice bigint, segment int, bucket bigint, payload binary"
 KEPT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,8 +85,9 @@ def transform(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
         own = rank[places[going]]
         places[going] = own + shift
         # New neighbours: of an inserted suffix and the one before it, and the one after it.
-        touched = np.unique(np.concatenate([own, own + 1]))
-        touched = touched[touched < size]
+        marks = np.zeros(size + 1, bool)
+        marks[own] = marks[own + 1] = True
+        touched = np.flatnonzero(marks[:size])
         first = bwt[order[touched]]
         alike = (touched > 0) & (first == bwt[order[touched - 1]]) & (first > 0)
         shared = np.zeros(len(touched), np.uint8)
@@ -139,10 +146,17 @@ def first_ids(symbols: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> np.nd
 # Pieces
 
 
+class Cut(NamedTuple):
+    """Pieces of a segment in text order: key, windows, and where the first window starts."""
+
+    keys: np.ndarray
+    windows: np.ndarray
+    places: np.ndarray
+
+
 class Pieces(NamedTuple):
-    """Distinct pieces of a segment in the order of their keys, and where they occur."""
+    """Distinct pieces in the order of their keys, and where they occur."""
 
-    # Of each distinct piece: key, windows, and its bytes as Arrow values.
     keys: np.ndarray
     windows: np.ndarray
     content: pa.Array
@@ -151,22 +165,23 @@ class Pieces(NamedTuple):
     places: np.ndarray
 
 
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values of the bytes, and powers of an odd number and of its inverse, for hashes of
     any part of a text from one running sum."""
     state = worker_state()
-    if "powers" not in state or len(state["powers"][0]) < size:
+    if "powers" not in state:
         base = 0xD6E8FEB86659FD93
         inverse = pow(base, -1, 1 << 64)
-        up, down = (np.full(size, x, np.uint64) for x in (base, inverse))
-        state["powers"] = (np.cumprod(up), np.cumprod(down))
-    values = np.random.default_rng(12).integers(1, 1 << 63, 256, np.int64).astype(np.uint64)
-    return values, *state["powers"]
+        size = HASHED_AT_ONCE + 2 * WINDOW
+        up, down = (np.cumprod(np.full(size, x, np.uint64)) for x in (base, inverse))
+        values = np.random.default_rng(12).integers(1, 1 << 63, 256, np.int64).astype(np.uint64)
+        state["powers"] = values, up, down
+    return state["powers"]
 
 
 def hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A hash of every ``size`` bytes in a row."""
-    values, up, down = _powers(len(data))
+    """A hash of every ``size`` bytes in a row of not many more than HASHED_AT_ONCE."""
+    values, up, down = _powers()
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(values[data] * up[: len(data)], out=sums[1:])
     found = (sums[size:] - sums[:-size]) * down[: len(data) - size + 1]
@@ -189,47 +204,67 @@ def smallest(values: np.ndarray, size: int) -> np.ndarray:
 def window_keys(data: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """A key of every window: of its grams that are not frequent the smallest hash, or
     where all are frequent a hash of the window."""
-    grams = hashes(data, GRAM)
-    grams[frequent[(grams >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64)]] = np.iinfo(np.uint64).max
-    keys = smallest(grams, WINDOW - GRAM + 1)
-    none = keys == np.iinfo(np.uint64).max
-    if none.any():
-        keys[none] = hashes(data, WINDOW)[none]
+    last = np.iinfo(np.uint64).max
+    keys = np.empty(max(len(data) - WINDOW + 1, 0), np.uint64)
+    for at in range(0, len(keys), HASHED_AT_ONCE):
+        part = data[at : at + HASHED_AT_ONCE + WINDOW - 1]
+        grams = hashes(part, GRAM)
+        grams[frequent[(grams >> np.uint64(64 - FREQUENT_BITS)).view(np.int64)]] = last
+        found = smallest(grams, WINDOW - GRAM + 1)
+        none = found == last
+        if none.any():
+            found[none] = hashes(part, WINDOW)[none]
+        keys[at : at + len(found)] = found
     return keys
 
 
-def cut_pieces(data: np.ndarray, starts: np.ndarray, frequent: np.ndarray) -> Pieces:
-    """Pieces of the texts ``data[starts[i]:starts[i + 1]]``: runs of windows with one key."""
-    lengths = np.diff(starts)
-    valid = np.zeros(len(data) + 1, np.int64)
-    long = lengths >= WINDOW
-    valid[starts[:-1][long]] += 1
-    np.add.at(valid, starts[1:][long] - WINDOW + 1, -1)
-    at = np.flatnonzero(np.cumsum(valid) > 0)
-    if not len(at):
+def cut_pieces(data: np.ndarray, starts: np.ndarray, frequent: np.ndarray) -> Cut:
+    """Pieces of the texts ``data[starts[i]:starts[i + 1]]``: runs of windows with one key,
+    none longer than PIECE_WINDOWS."""
+    keys = window_keys(data, frequent)
+    if not len(keys):
         none = np.zeros(0, np.int64)
-        return Pieces(none.astype(np.uint64), none, pa.array([], pa.binary()), none, none)
-    keys = window_keys(data, frequent)[at]
-    new = np.append(True, (keys[1:] != keys[:-1]) | (at[1:] != at[:-1] + 1))
-    run = np.flatnonzero(new)
-    inside = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
-    first = np.flatnonzero(inside % PIECE_WINDOWS == 0)
-    windows = np.diff(np.append(first, len(at)))
-    places, sizes = at[first], windows + WINDOW - 1
+        return Cut(keys, none, none)
+    # Windows that reach into the next text are none.
+    marks = np.zeros(len(data) + 1, np.int8)
+    long = np.diff(starts) >= WINDOW
+    marks[starts[:-1][long]] += 1
+    marks[starts[1:][long] - WINDOW + 1] -= 1
+    valid = np.cumsum(marks[: len(keys)], dtype=np.int8) > 0
+    change = np.flatnonzero((keys[1:] != keys[:-1]) | (valid[1:] != valid[:-1])) + 1
+    first = np.append(0, change)
+    sizes = np.diff(np.append(first, len(keys)))
+    first, sizes = first[valid[first]], sizes[valid[first]]
+    parts = -(-sizes // PIECE_WINDOWS)
+    inside = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    places = np.repeat(first, parts) + inside * PIECE_WINDOWS
+    windows = np.minimum(np.repeat(sizes, parts) - inside * PIECE_WINDOWS, PIECE_WINDOWS)
+    return Cut(keys[places], windows, places)
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges of a start and a size, one range after the other."""
+    found = np.repeat(starts - np.append(0, np.cumsum(sizes)[:-1]), sizes)
+    found += np.arange(len(found))
+    return found
+
+
+def distinct_pieces(data: np.ndarray, cut: Cut) -> Pieces:
+    sizes = cut.windows + WINDOW - 1
     offsets = np.append(0, np.cumsum(sizes))
-    spread = np.repeat(places - offsets[:-1], sizes) + np.arange(offsets[-1])
+    content = pa.py_buffer(data[spread(cut.places, sizes)])
     values = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data[spread])]
-    ).cast(pa.binary())
+        pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), content]
+    )
     named = values.dictionary_encode()
     code = named.indices.to_numpy()
     once = np.unique(code, return_index=True)[1]
-    order = np.argsort(keys[first][once], kind="stable")
+    order = np.argsort(cut.keys[once], kind="stable")
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
     return Pieces(
-        keys[first][once][order], windows[once][order], named.dictionary.take(pa.array(order)),
-        back[code], places,
+        cut.keys[once][order], cut.windows[once][order], named.dictionary.take(pa.array(order)),
+        back[code], cut.places,
     )
 
 
@@ -243,31 +278,38 @@ class Slice:
         self.known = np.frombuffer(row["known"], bool)
         self.starts = np.append(0, np.cumsum(np.frombuffer(row["lengths"], np.int64)))
 
-    def segments(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Place, bytes, starts of texts and their numbers. Segments of one long text overlap
+    def segments(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Number, place, bytes, starts of texts and their numbers. Segments of one long text overlap
         by all but one byte of a window."""
         if len(self.data) <= SLICE_BYTES:
             # Texts without an id meet no other.
             keep = np.flatnonzero(self.known)
             if len(keep) == len(self.ids):
-                yield 0, self.data, self.starts, keep
+                yield 0, 0, self.data, self.starts, keep
             else:
                 texts = [self.data[self.starts[i] : self.starts[i + 1]] for i in keep.tolist()]
                 lengths = np.diff(self.starts)[keep]
-                yield (
-                    0, np.concatenate(texts or [self.data[:0]]), np.append(0, np.cumsum(lengths)), keep
-                )
+                data = np.concatenate(texts or [self.data[:0]])
+                yield 0, 0, data, np.append(0, np.cumsum(lengths)), keep
             return
         for number in np.flatnonzero(self.known).tolist():
             first, last = self.starts[number], self.starts[number + 1]
-            for at in range(first, max(last - WINDOW + 1, first), SLICE_BYTES):
+            for segment, at in enumerate(range(first, max(last - WINDOW + 1, first), SLICE_BYTES)):
                 end = min(at + SLICE_BYTES + WINDOW - 1, last)
-                yield at, self.data[at:end], np.array([0, end - at]), np.array([number])
+                yield segment, at, self.data[at:end], np.array([0, end - at]), np.array([number])
 
 
-def spans_of(pieces: Pieces, starts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+def texts_of(cut: Cut | Pieces, starts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """The number of the text of every occurrence."""
-    return numbers[np.searchsorted(starts, pieces.places, "right") - 1]
+    return numbers[np.searchsorted(starts, cut.places, "right") - 1]
+
+
+def extremes(groups: np.ndarray, count: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest and the largest id of each of ``count`` groups."""
+    low, high = np.full(count, NO_ID), np.full(count, -NO_ID)
+    np.minimum.at(low, groups, ids)
+    np.maximum.at(high, groups, ids)
+    return low, high
 
 
 def bucket_ranges(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
@@ -315,15 +357,16 @@ def frequent_grams(docs: DataFrame) -> np.ndarray:
     to, the same for equal windows, and nothing else.
     """
     sample = hash_sample(docs.select("doc_id", "text"), SAMPLE, "doc_id", "text")
+    sample = sample.repartition(SAMPLE_TASKS, F.xxhash64("doc_id", "text"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         count = np.zeros(1 << FREQUENT_BITS, np.int32)
         for batch, texts in slices(batches, size=1):
             data = np.frombuffer(texts[0].as_py().encode(), np.uint8)
-            for at in range(0, len(data) - GRAM + 1, SLICE_BYTES):
-                grams = hashes(data[at : at + SLICE_BYTES + GRAM - 1], GRAM)
-                # Once a document, or once a segment of a long one.
-                count[np.unique((grams >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64))] += 1
+            for at in range(0, len(data) - GRAM + 1, HASHED_AT_ONCE):
+                grams = hashes(data[at : at + HASHED_AT_ONCE + GRAM - 1], GRAM)
+                # Once a document, or once a stretch of a long one.
+                count[np.unique(grams >> np.uint64(64 - FREQUENT_BITS)).view(np.int64)] += 1
         often = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays(
             [pa.array(often), pa.array(count[often].astype(np.int64))], ["place", "n"]
@@ -342,22 +385,95 @@ def _row(batches) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _send(marks: bytes, buckets: int):
-    """Distinct pieces of a slice to their buckets, with the smallest and the largest id."""
+def _to_buckets(name: int, segment: int, rows: list[tuple[int, bytes]], schema: str) -> pa.RecordBatch:
+    kinds = {"bucket": pa.int64(), "slice": pa.int64(), "segment": pa.int32(), "payload": pa.binary()}
+    columns = {
+        "bucket": [b for b, _ in rows], "slice": [name] * len(rows),
+        "segment": [segment] * len(rows), "payload": [x for _, x in rows],
+    }
+    names = [field.split()[0] for field in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(columns[x], kinds[x]) for x in names], names)
+
+
+def _send_keys(marks: bytes, buckets: int):
+    """Distinct keys of a slice to their buckets, and whether two of its ids have them."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         frequent = np.frombuffer(marks, bool)
         for row in _row(batches):
             part = Slice(row)
-            for place, data, starts, numbers in part.segments():
-                pieces = cut_pieces(data, starts, frequent)
-                ids = part.ids[spans_of(pieces, starts, numbers)]
-                low, high = np.full(len(pieces.keys), NO_ID), np.full(len(pieces.keys), -NO_ID)
-                np.minimum.at(low, pieces.piece, ids)
-                np.maximum.at(high, pieces.piece, ids)
+            for segment, _, data, starts, numbers in part.segments():
+                cut = cut_pieces(data, starts, frequent)
+                keys, group = np.unique(cut.keys, return_inverse=True)
+                low, high = extremes(group, len(keys), part.ids[texts_of(cut, starts, numbers)])
+                steps = np.diff(keys >> np.uint64(UNSENT_BITS), prepend=np.uint64(0))
+                rows = [
+                    (bucket, pack([(low != high)[a:b], np.append(keys[a] >> np.uint64(UNSENT_BITS), steps[a + 1 : b])]))
+                    for bucket, a, b in bucket_ranges(keys, buckets)
+                ]
+                yield _to_buckets(row["slice"], segment, rows, SENT)
+
+    return run
+
+
+def _answer_keys(batches) -> Iterator[pa.RecordBatch]:
+    """Tells every slice which of its keys more than one document has."""
+    for number, rows in _by_bucket(batches):
+        several, keys = [], []
+        for row in rows:
+            count, whole = unpack(row["payload"])
+            several.append(np.frombuffer(whole, bool, count))
+            keys.append(np.cumsum(np.frombuffer(whole, np.uint64, count, count), dtype=np.uint64))
+        _, group, often = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        found = often > 1
+        found[group[np.concatenate(several)]] = True
+        at = 0
+        for row, own in zip(rows, keys):
+            bits = found[group[at : at + len(own)]]
+            at += len(own)
+            if bits.any():
+                yield _to_buckets(row["slice"], row["segment"], [(number, pack([bits]))], ANSWERS)
+
+
+def _by_bucket(batches) -> Iterator[tuple[int, list[dict]]]:
+    """The rows of each bucket, which stand together."""
+    rows: list[dict] = []
+    for row in _row(batches):
+        if rows and rows[0]["bucket"] != row["bucket"]:
+            yield rows[0]["bucket"], rows
+            rows = []
+        rows.append(row)
+    if rows:
+        yield rows[0]["bucket"], rows
+
+
+def shared_pieces(data, starts, frequent, buckets: int, segment: int, answers: dict) -> Pieces:
+    """The distinct pieces of a segment of which another document may have a window."""
+    cut = cut_pieces(data, starts, frequent)
+    keys, group = np.unique(cut.keys, return_inverse=True)
+    wanted = np.zeros(len(keys), bool)
+    for bucket, first, last in bucket_ranges(keys, buckets):
+        answer = answers.get((segment, bucket))
+        if answer:
+            wanted[first:last] = np.frombuffer(unpack(answer)[1], bool)
+    here = wanted[group]
+    return distinct_pieces(data, Cut(*(x[here] for x in cut)))
+
+
+def _send_pieces(marks: bytes, buckets: int):
+    """Distinct pieces of a slice to their buckets, with the smallest and the largest id."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        frequent = np.frombuffer(marks, bool)
+        for row in _row(batches):
+            part, answers = Slice(row), _listed(row["shared"])
+            for segment, _, data, starts, numbers in part.segments() if answers else ():
+                pieces = shared_pieces(data, starts, frequent, buckets, segment, answers)
+                ids = part.ids[texts_of(pieces, starts, numbers)]
+                low, high = extremes(pieces.piece, len(pieces.keys), ids)
                 rows = []
                 for bucket, first, last in bucket_ranges(pieces.keys, buckets):
-                    content = pieces.content[first:last].cast(pa.large_binary())
+                    content = pieces.content[first:last]
                     offsets = offsets_of(content)
                     parts = [
                         pieces.windows[first:last].astype(np.uint8), np.diff(low[first:last], prepend=0),
@@ -365,19 +481,15 @@ def _send(marks: bytes, buckets: int):
                         np.frombuffer(content.buffers()[2], np.uint8)[offsets[0] : offsets[-1]],
                     ]
                     rows.append((bucket, pack(parts)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([b for b, _ in rows], pa.int64()),
-                        pa.array([row["slice"]] * len(rows), pa.int64()),
-                        pa.array([place // SLICE_BYTES] * len(rows), pa.int32()),
-                        pa.array([x for _, x in rows], pa.binary()),
-                    ],
-                    [field.split()[0] for field in SENT.split(", ")],
-                )
+                yield _to_buckets(row["slice"], segment, rows, SENT)
 
     return run
 
 
+def _listed(answers: list[dict] | None) -> dict[tuple, bytes]:
+    return {(x["segment"], x["bucket"]): x["payload"] for x in answers or []}
+
+
 def pack(parts: list[np.ndarray]) -> bytes:
     """Arrays as compressed bytes, after their sizes."""
     whole = b"".join(x.tobytes() for x in parts)
@@ -415,15 +527,11 @@ class Bucket:
         """(slice, segment, first ids of all windows of its pieces) for senders of which a
         text has a window of an earlier one."""
         windows, low, high = (np.concatenate(x) for x in (self.windows, self.low, self.high))
-        named = pa.chunked_array(self.content).dictionary_encode().combine_chunks()
-        if isinstance(named, pa.ChunkedArray):
-            named = named.chunk(0)
+        named = pa.concat_arrays(self.content).dictionary_encode()
         code = named.indices.to_numpy()
         content = named.dictionary
         count = len(content)
-        first_low, last_high = np.full(count, NO_ID), np.full(count, -NO_ID)
-        np.minimum.at(first_low, code, low)
-        np.maximum.at(last_high, code, high)
+        first_low, last_high = extremes(code, count, low)[0], extremes(code, count, high)[1]
         offsets = offsets_of(content)
         data = np.frombuffer(content.buffers()[2], np.uint8)
         keys = _piece_keys(data, offsets, frequent)
@@ -438,18 +546,15 @@ class Bucket:
         found = np.full(each[-1], NO_ID)
         for part in _portions(order, sizes, lengths):
             starts = np.append(0, np.cumsum(lengths[part]))
-            spread = np.repeat(offsets[part] - starts[:-1], lengths[part]) + np.arange(starts[-1])
-            firsts = first_ids(data[spread] + np.uint8(1), starts, first_low[part])
-            counts = lengths[part] - WINDOW + 1
-            before = np.append(0, np.cumsum(counts))[:-1]
-            found[np.repeat(each[part] - before, counts) + np.arange(counts.sum())] = firsts
+            symbols = data[spread(offsets[part], lengths[part])] + np.uint8(1)
+            firsts = first_ids(symbols, starts, first_low[part])
+            found[spread(each[part], lengths[part] - WINDOW + 1)] = firsts
         at = 0
         for name, segment, pieces in self.senders:
             here = slice(at, at + pieces)
             at += pieces
             counts = windows[here]
-            before = np.append(0, np.cumsum(counts))[:-1]
-            firsts = found[np.repeat(each[code[here]] - before, counts) + np.arange(counts.sum())]
+            firsts = found[spread(each[code[here]], counts)]
             # What no text of the sender comes after is of no use to it.
             firsts = np.where(firsts < np.repeat(high[here], counts), firsts, NO_ID)
             if (firsts != NO_ID).any():
@@ -479,26 +584,16 @@ def _portions(order: np.ndarray, sizes: np.ndarray, lengths: np.ndarray) -> Iter
         first = last
 
 
-def _settle(marks: bytes):
+def _answer_pieces(marks: bytes):
     def run(batches) -> Iterator[pa.RecordBatch]:
         frequent = np.frombuffer(marks, bool)
-        held, number = None, None
-
-        def answers():
-            rows = [(s, g, number, x) for s, g, x in held.settle(frequent)] if held else []
-            columns = zip(*rows) if rows else [[]] * 4
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                [field.split()[0] for field in ANSWERS.split(", ")],
-            )
-
-        for row in _row(batches):
-            if row["bucket"] != number:
-                yield answers()
-                held, number = Bucket(), row["bucket"]
-            held.add((row["slice"], row["segment"]), row["payload"])
-        yield answers()
+        for number, rows in _by_bucket(batches):
+            held = Bucket()
+            while rows:
+                row = rows.pop()
+                held.add((row["slice"], row["segment"]), row["payload"])
+            for name, segment, payload in held.settle(frequent):
+                yield _to_buckets(name, segment, [(number, payload)], ANSWERS)
 
     return run
 
@@ -509,26 +604,24 @@ def _remove(marks: bytes, buckets: int):
     def run(batches) -> Iterator[pa.RecordBatch]:
         frequent = np.frombuffer(marks, bool)
         for row in _row(batches):
-            part = Slice(row)
-            answers = {(x["segment"], x["bucket"]): x["firsts"] for x in row["answers"] or []}
+            part, shared, firsts = Slice(row), _listed(row["shared"]), _listed(row["firsts"])
             # One more and one less where a removed stretch begins and ends.
             edges = np.zeros(len(part.data) + 1, np.int32)
-            for place, data, starts, numbers in part.segments() if answers else ():
-                pieces = cut_pieces(data, starts, frequent)
+            for segment, place, data, starts, numbers in part.segments() if firsts else ():
+                pieces = shared_pieces(data, starts, frequent, buckets, segment, shared)
                 each = np.append(0, np.cumsum(pieces.windows))
-                firsts = np.full(each[-1], NO_ID)
+                earliest = np.full(each[-1], NO_ID)
                 for bucket, first, last in bucket_ranges(pieces.keys, buckets):
-                    answer = answers.get((place // SLICE_BYTES, bucket))
+                    answer = firsts.get((segment, bucket))
                     if answer:
-                        firsts[each[first] : each[last]] = np.frombuffer(unpack(answer)[1], np.int64)
+                        earliest[each[first] : each[last]] = np.frombuffer(unpack(answer)[1], np.int64)
                 counts = pieces.windows[pieces.piece]
-                inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                at = np.repeat(pieces.places, counts) + inside
-                own = np.repeat(spans_of(pieces, starts, numbers), counts)
-                gone = firsts[np.repeat(each[pieces.piece], counts) + inside] < part.ids[own]
+                own = np.repeat(texts_of(pieces, starts, numbers), counts)
+                gone = earliest[spread(each[pieces.piece], counts)] < part.ids[own]
+                at, own = spread(pieces.places, counts)[gone], own[gone]
                 # From the segment's bytes to those of the slice.
-                text = np.searchsorted(numbers, own[gone])
-                at = at[gone] - starts[text] + (part.starts[own[gone]] if not place else place)
+                text = np.searchsorted(numbers, own)
+                at += (part.starts[own] - starts[text]) if not segment else place
                 np.add.at(edges, at, 1)
                 np.add.at(edges, at + WINDOW, -1)
             gone = np.cumsum(edges[:-1]) > 0
@@ -558,10 +651,17 @@ def removed_repeats(docs: DataFrame, workspace: Workspace) -> DataFrame:
     held = stored_slices(docs, workspace)
     size = held.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     buckets = size // BUCKET_BYTES + 1
-    sent = held.mapInArrow(_send(marks, buckets), SENT)
-    met = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "slice", "segment")
-    answers = workspace.keep(met.mapInArrow(_settle(marks), ANSWERS), "answers")
-    listed = answers.groupBy("slice").agg(
-        F.collect_list(F.struct("segment", "bucket", "firsts")).alias("answers")
-    )
-    return held.join(listed, "slice", "left").mapInArrow(_remove(marks, buckets), KEPT)
+
+    def met(sent: DataFrame) -> DataFrame:
+        return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+
+    def listed(answers: DataFrame, name: str) -> DataFrame:
+        entries = F.collect_list(F.struct("segment", "bucket", "payload"))
+        return answers.groupBy("slice").agg(entries.alias(name))
+
+    keys = met(held.mapInArrow(_send_keys(marks, buckets), SENT)).mapInArrow(_answer_keys, ANSWERS)
+    shared = listed(workspace.keep(keys, "shared"), "shared")
+    known = held.join(shared, "slice", "left")
+    sent = met(known.mapInArrow(_send_pieces(marks, buckets), SENT))
+    answers = workspace.keep(sent.mapInArrow(_answer_pieces(marks), ANSWERS), "firsts")
+    return known.join(listed(answers, "firsts"), "slice", "left").mapInArrow(_remove(marks, buckets), KEPT)
