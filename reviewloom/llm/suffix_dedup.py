@@ -31,6 +31,9 @@ from reviewloom.llm.arrow_text import offsets_of, slices, worker_state
 from reviewloom.llm.tables import Workspace, hash_sample
 
 WINDOW = 50
+# Bytes of a symbol of the transform. Each text stands for as many strings, one from each of
+# its first bytes on, so that windows at all places are there; there are fewer rounds.
+STRIDE = 5
 GRAM = 20
 # Text of a slice, which is cut, sent and answered as a whole; a longer document is a
 # slice of its own, worked on in segments of that size.
@@ -39,8 +42,8 @@ SLICE_BYTES = 2 << 20
 PIECE_WINDOWS = 64
 # Text of all windows of a bucket (pieces overlap, so that they hold some four times it).
 BUCKET_BYTES = 2 << 20
-# Symbols of a transform at most, but for those of one gram.
-TRANSFORM_SYMBOLS = 1 << 18
+# Symbols of a transform at most, but for those of one key: then 16 bits tell them apart.
+TRANSFORM_SYMBOLS = 65_000
 # The sample that finds frequent grams: documents, and the share of them that have one.
 SAMPLE, FREQUENT_SHARE = 1000, 0.01
 FREQUENT_BITS, SAMPLE_TASKS = 20, 8
@@ -64,7 +67,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 def transform(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The transform of several strings and the lengths of common prefixes of neighbours.
 
-    ``symbols[starts[i]:starts[i + 1]]`` is string i, bytes from 1 on; 0 ends a string, and
+    ``symbols[starts[i]:starts[i + 1]]`` is string i, numbers from 1 on; 0 ends a string, and
     the end of an earlier string comes first. Round j inserts the suffixes of length j of
     all strings that long. Both results are read and written from front to back each
     round. Common prefixes are counted up to 254.
@@ -121,25 +124,43 @@ def _least(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
     return found
 
 
-def first_ids(symbols: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For every window of every string, in order, the smallest id of a string that has it."""
-    bwt, common = transform(symbols, starts)
+def phases(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts as strings of symbols of STRIDE bytes, for each text one from each of its first
+    STRIDE bytes on: symbols by rank from 1, starts of the strings, their lengths."""
+    codes = np.zeros(len(data), np.int64)
+    for i in range(STRIDE):
+        codes[: len(data) - i] = codes[: len(data) - i] << 8 | data[i:]
+    places = np.add.outer(starts[:-1], np.arange(STRIDE)).ravel()
+    lengths = (np.subtract.outer(np.diff(starts), np.arange(STRIDE)) // STRIDE).ravel()
+    before = np.append(0, np.cumsum(lengths))
+    at = np.repeat(places - STRIDE * before[:-1], lengths) + STRIDE * np.arange(before[-1])
+    known, symbols = np.unique(codes[at], return_inverse=True)
+    kind = np.uint16 if len(known) < 1 << 16 else np.uint32
+    return (symbols + 1).astype(kind), before, lengths
+
+
+def first_ids(data: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For every window of every text, in order, the smallest id of a text that has it."""
+    symbols, begins, lengths = phases(data, starts)
+    bwt, common = transform(symbols, begins)
     rank = np.empty(len(bwt), np.int64)
     rank[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
-    lengths = np.diff(starts)
     # Suffixes with the same window are neighbours that share that many symbols.
-    group = np.cumsum(common < WINDOW)
-    windows = np.append(0, np.cumsum(lengths - WINDOW + 1))
-    where = np.empty(windows[-1], np.int64)
+    needed = WINDOW // STRIDE
+    group = np.cumsum(common < needed)
+    counts = np.diff(starts) - WINDOW + 1
+    # Of each string: the number of the window at its first symbol.
+    windows = np.add.outer(np.append(0, np.cumsum(counts))[:-1], np.arange(STRIDE)).ravel()
+    where = np.empty(counts.sum(), np.int64)
     places = np.arange(len(lengths))
     for j in range(1, int(lengths.max()) + 1):
         going = np.flatnonzero(lengths >= j)
         places[going] = rank[places[going]]
-        if j >= WINDOW:
-            # The suffix of length j is the window with that many symbols to the end.
-            where[windows[going] + lengths[going] - j] = group[places[going]]
+        if j >= needed:
+            # The suffix of length j begins with the window so many symbols before the end.
+            where[windows[going] + STRIDE * (lengths[going] - j)] = group[places[going]]
     first = np.full(group[-1] + 1, NO_ID)
-    np.minimum.at(first, where, np.repeat(ids, lengths - WINDOW + 1))
+    np.minimum.at(first, where, np.repeat(ids, counts))
     return first[where]
 
 
@@ -214,7 +235,8 @@ def window_keys(data: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         none = found == last
         if none.any():
             found[none] = hashes(part, WINDOW)[none]
-        keys[at : at + len(found)] = found
+        # Smallest hashes are small; mixed, they fill all buckets alike.
+        keys[at : at + len(found)] = found * _MIX
     return keys
 
 
@@ -546,8 +568,7 @@ class Bucket:
         found = np.full(each[-1], NO_ID)
         for part in _portions(order, sizes, lengths):
             starts = np.append(0, np.cumsum(lengths[part]))
-            symbols = data[spread(offsets[part], lengths[part])] + np.uint8(1)
-            firsts = first_ids(symbols, starts, first_low[part])
+            firsts = first_ids(data[spread(offsets[part], lengths[part])], starts, first_low[part])
             found[spread(each[part], lengths[part] - WINDOW + 1)] = firsts
         at = 0
         for name, segment, pieces in self.senders:
