@@ -62,6 +62,15 @@ def canned_answer(text: str) -> str | None:
     return "\n".join(variants.get(variant, well_formed))
 
 
+def offline_batch_client():
+    """The same for calls of many prompts."""
+
+    def client(prompts: list[str], temperature: float, max_tokens: int) -> list[str | None]:
+        return [canned_answer(reviewed_text(prompt)) for prompt in prompts]
+
+    return client
+
+
 def offline_client():
     """Client factory: the default of every completion operator."""
 

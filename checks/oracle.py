@@ -6,14 +6,7 @@ only those a statement uses.
 
 from __future__ import annotations
 
-from checks.views import DIRT, PRODUCT_PAGES_SQL, REVIEWS_SQL
-from reviewloom.operators.generate import TEMPLATES
-from reviewloom.operators.prompts import (
-    ANSWER_FORMAT,
-    PROMPT_OPENING,
-    REVIEW_CLOSING,
-    REVIEW_OPENING,
-)
+from checks.views import BLANKS_FROM, DIRT, PRODUCT_PAGES_SQL, REVIEWS_SQL
 
 WS = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -22,6 +15,39 @@ WS = (
 LINE_BREAK = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
+# Fixed values, stated here once more: author, date, rating by the product's rating o, and
+# text by title t and description d.
+GENERATED = """
+  (0, 'Alice M.', '2024-03-15', 'I absolutely loved ''{t}''. {d1}... The writing style is engaging and the content kept me hooked from start to finish. Would highly recommend to anyone looking for a great read.'),
+  (1, 'Raj K.', '2024-02-28', 'Decent book overall. ''{t}'' has its moments but felt a bit slow in the middle. The beginning is strong and the ending ties things together nicely. Good value for the price though.'),
+  (2, 'Emma L.', '2024-01-10', 'One of the best purchases I''ve made this year! ''{t}'' exceeded all my expectations. {d2}... The author has a unique voice and the subject matter is handled with great care.'),
+  (3, 'Tom W.', '2023-12-05', 'Mixed feelings about ''{t}''. It started off promisingly but the pacing became inconsistent midway. I can see why others love it, but it just wasn''t for me. The production quality is good though.'),
+  (4, 'Priya S.', '2024-04-01', '''{t}'' is a solid read. I appreciated the depth of content and how well everything was structured. Perfect for a lazy weekend. Will look for more from this author.'),
+  (5, 'James O.', '2024-04-20', 'Truly a gem! I had low expectations for ''{t}'' but was completely blown away. The detail, the flow, and the overall experience were top-notch. Already gifted copies to three friends.'),
+  (6, 'Sara N.', '2024-03-30', 'Good book, nothing extraordinary. ''{t}'' delivers what it promises. Clear writing, fair length, and reasonably priced. A reliable choice if you''re on the fence.')
+"""
+
+PROMPT = """You are a product review analyst. Analyze the following customer review and return a structured analysis.
+
+{context}
+
+REVIEW:
+\"\"\"
+{text}
+\"\"\"
+
+Respond in exactly this format (no extra text):
+
+SENTIMENT: <Positive | Negative | Neutral | Mixed>
+CONFIDENCE: <a score from 0.0 to 1.0>
+KEY_POINTS:
+- <point 1>
+- <point 2>
+- <point 3 if applicable>
+SUMMARY: <one concise sentence summarizing the review>
+"""
+
+
 def quoted(text: str) -> str:
     """A SQL literal; what is not printable ASCII goes by its number."""
     pieces, plain = [], ""
@@ -222,7 +248,9 @@ def chain() -> str:
             '2024-05-20 14:32:01' as scraped_at
           from part)""",
         """turn as (select conv_id as review_key, cast(turn as int) as chunk_idx,
-            case when turn % 5 = 3 then '' else text end as chunk from conversations)""",
+            text as chunk from conversations
+          union all select conv_id, cast(turn as int) + {blanks}, ' ' from conversations
+            where turn % 5 = 3)""".format(blanks=BLANKS_FROM),
         "asked as (select * from turn where trim(chunk) <> '')",
         answers("f4", "asked"),
         parsed("p4", "f4"),
@@ -263,41 +291,44 @@ def chain() -> str:
 
 
 def generated() -> str:
-    rows = []
-    for i, template in enumerate(TEMPLATES):
-        texts = template["text"]
-        rule = template["rating"]
-        rows.append(
-            f"({i}, {quoted(template['author'])}, {quoted(template['date'])}, {rule['drop']}, "
-            f"{rule.get('lowest', -9)}, {rule.get('highest', 9)}, {quoted(texts)})"
-        )
     text = "template"
     for mark, value in (
-        ("{title}", "product_title"),
-        ("{opening}", "substr(description, 1, 120)"),
-        ("{middle}", "substr(description, 51, 110)"),
+        ("{t}", "product_title"),
+        ("{d1}", "substr(description, 1, 120)"),
+        ("{d2}", "substr(description, 51, 110)"),
     ):
         text = f"replace({text}, '{mark}', {value})"
     return f"""
 select scraped_url || '#' || i as review_key,
   substr(md5(author || date || i), 1, 8) as review_id, product_title, author,
-  case when overall_rating is not null
-       then cast(least(greatest(overall_rating - lowered, lowest), highest) as int) end as rating,
+  case when overall_rating is null then null
+    when i in (2, 5) then 5
+    when i = 0 and overall_rating > 5 then 5
+    when i = 1 and overall_rating < 2 then 1 when i = 1 then overall_rating - 1
+    when i = 3 and overall_rating < 3 then 1 when i = 3 then overall_rating - 2
+    when i = 6 and overall_rating < 3 then 2 when i = 6 then overall_rating - 1
+    else overall_rating end::int as rating,
   date, {text} as review_text, scraped_url as source_url
-from product cross join (values {", ".join(rows)})
-  as t(i, author, date, lowered, lowest, highest, template)"""
+from product cross join (values {GENERATED}) as t(i, author, date, template)"""
 
 
 def prompt_text() -> str:
+    before, rest = PROMPT.split("{context}")
+    opening, closing = rest.split("{text}")
     return f"""
-select review_key, {quoted(PROMPT_OPENING)}
+select review_key, {quoted(before)}
   || case when author is null or author = '' then '' else 'Written by: ' || author || '.' end
   || ' ' || case when rating is null or rating = 0 then ''
                  else 'The reviewer gave a rating of ' || rating || '/5.' end
-  || {quoted(REVIEW_OPENING)} || review_text || {quoted(REVIEW_CLOSING + ANSWER_FORMAT)} as prompt
+  || {quoted(opening)} || review_text || {quoted(closing)} as prompt
 from f1"""
 
 
+ANALYSIS = """
+select review_key, token_count, sentiment, confidence, key_points_str, llm_summary,
+  raw_llm_response, chunks_analyzed
+from f5_rich"""
+
 EXPORTED = """
 select review_id, product_title, coalesce(author, '') as author, rating, date,
   review_text as original_review, cleaned_text as cleaned_review, token_count, chunk_count,
@@ -316,7 +347,8 @@ DOCUMENTS = """
 select source_url, max(product_title) as product_title, max(rating) as overall_rating,
   '2024-05-20T14:32:01.000000' as scraped_at, '2024-05-20T14:32:01.000000' as generated_at,
   count(*) as total_reviews, cast(count(*) as int) as listed,
-  md5(string_agg(review_id, ',' order by review_key)) as ids_digest,
+  cast(sum(('0x' || substr(md5(review_key || '|' || review_id), 1, 11))::bigint) as bigint)
+    as ids_digest, cast(0 as int) as misplaced,
   cast(coalesce(sum(rating), 0) as bigint) as rating_sum,
   cast(sum(length(cleaned_text)) as bigint) as text_length,
   cast(sum(chunk_count) as bigint) as chunks,
@@ -333,7 +365,7 @@ from f5_rich group by source_url"""
 BREAKDOWN = """
 select sentiment, count(*) as reviews, rpad(sentiment, cast(greatest(10, length(sentiment)) as int), ' ')
     as label,
-  repeat(chr(9608), least(count(*), 60)) as bar
+  repeat(chr(9608), count(*)) as bar
 from f5_rich group by sentiment"""
 
 METRICS = """
@@ -342,6 +374,15 @@ select source_url, max(product_title) as product_title, count(*) as reviews,
   count(*) filter (where sentiment not in ('Unknown', '')) as successful
 from f5_rich group by source_url"""
 
+WHOLE_RUN = """
+select source_url, max(product_title) as product_title, count(*) as reviews,
+  count(*) as total_reviews, count(*) as csv_rows, count(*) as json_reviews,
+  cast(sum(chunk_count) as bigint) as total_chunks,
+  count(*) filter (where sentiment not in ('Unknown', '')) as successful,
+  round(avg(rating), 6) as avg_rating, round(avg(confidence), 6) as avg_confidence,
+  round(avg(token_count), 6) as avg_tokens
+from f5_rich group by source_url"""
+
 OVERVIEW = """
 select source_url, count(*) as reviews, cast(sum(chunk_count) as bigint) as total_chunks,
   count(*) filter (where sentiment not in ('Unknown', '')) as successful,
@@ -398,7 +439,10 @@ def oracle_sql() -> dict[str, str]:
         "preprocess_metrics": """select count(*) as reviews,
             round(coalesce(avg(token_count), 0), 6) as avg_tokens from f1_pre""",
         "build_prompt": prompt_text(),
-        "explode_chunks": "select review_key, chunk_idx, chunk from asked",
+        "explode_chunks": f"""select review_key, cast(chunk_idx + 1 as int) as chunk_idx, chunk
+            from chunk where {stripped("chunk")} <> ''""",
+        "stored_responses": """select review_key, cast(chunk_idx as int) as chunk_idx, raw_response,
+            cast(1 as int) as attempts, cast(null as varchar) as error_class from f5""",
         "completion": """select review_key, chunk_idx, raw_response, cast(1 as int) as attempts
             from f4 where length(raw_response) > 0""",
         "retry_outcomes": RETRIES,
@@ -413,10 +457,12 @@ def oracle_sql() -> dict[str, str]:
         "merge_confidence": "select review_key, confidence from m4",
         "merge_key_points": "select review_key, key_points_str from m4",
         "merge_summary": "select review_key, llm_summary, raw_llm_response from m4",
-        "analyze_reviews": """select review_key, token_count, sentiment, confidence,
-            key_points_str, llm_summary, raw_llm_response, chunks_analyzed from f5_rich""",
+        "analyze_reviews": ANALYSIS,
+        "resumed_run": ANALYSIS,
+        "whole_run": WHOLE_RUN,
         "export_rows": EXPORTED,
         "csv_roundtrip": READ_BACK,
+        "csv_lines": READ_BACK,
         "json_documents": DOCUMENTS,
         "report_header": """select product_title, price,
             coalesce(cast(overall_rating as varchar), 'N/A') as overall_rating, scraped_url,

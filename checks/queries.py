@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from checks import views
 from checks.clients import failing_client
-from checks.offline_client import offline_client
+from checks.offline_client import offline_batch_client, offline_client
 from reviewloom.functions.times import moment
+from reviewloom.functions.text import is_blank
 from reviewloom.functions.tokens import estimate_tokens
-from reviewloom.operators import chunks, completion, merge, pages, report
+from reviewloom.operators import asking, chunks, completion, merge, pages, report
 from reviewloom.operators import clean as cleaning
 from reviewloom.operators import prompts as prompting
 from reviewloom.operators import responses as parsing
 from reviewloom.operators.generate import generate_reviews as seven_reviews
-from reviewloom.plans.workflow import analyzed
+from reviewloom.plans.workflow import Store, analyzed, run_reviews
 from reviewloom.sinks import documents, flat
 from reviewloom.sources.tables import fetched, run_folder
 
@@ -131,17 +132,17 @@ def build_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explode_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The turns of a conversation are given one per row already.
-    one_each = views.turns(spark, sf_dir).select(
-        "review_key", F.col("chunk_idx").alias("turn"), F.array("chunk").alias("chunks")
-    )
-    return chunks.explode_chunks(one_each).select(
-        "review_key", F.col("turn").alias("chunk_idx"), "chunk"
+    # Reviews of many chunks, with a blank one before and after them.
+    padded = _preprocessed(spark, sf_dir).withColumn(
+        "chunks", F.concat(F.array(F.lit(" \u2003")), "chunks", F.array(F.lit("")))
     )
+    return chunks.explode_chunks(padded).select("review_key", "chunk_idx", "chunk")
 
 
 def _asked(spark: SparkSession, sf_dir: str, client_factory=offline_client, **options) -> DataFrame:
-    asked = explode_chunks(spark, sf_dir).withColumns(
+    # The turns of a conversation are given one per row already.
+    texts = views.turns(spark, sf_dir).where(~is_blank(F.col("chunk")))
+    asked = texts.withColumns(
         {"rating": F.lit(None).cast("int"), "author": F.lit(None).cast("string")}
     )
     return completion.complete_chunks(asked, client_factory, **options)
@@ -165,11 +166,25 @@ def retry_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chunk asked once, in calls of 16 prompts, by two runs of which the first was
+    cut off after one round of three."""
+    path = f"{run_folder(spark)}/responses"
+    prompts = asking.chunk_prompts(_preprocessed(spark, sf_dir))
+    options = {
+        "client_factory": offline_batch_client,
+        "settings": completion.CompletionSettings(batch=16),
+    }
+    asking.ask_chunks(prompts, path, rounds=3, most_rounds=1, **options)
+    done = asking.ask_chunks(prompts, path, rounds=2, **options)
+    return done.select("review_key", "chunk_idx", "raw_response", "attempts", "error_class")
+
+
 # Parsing
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answers = views.responses(spark, sf_dir).where(F.col("chunk") != "")
+    answers = views.responses(spark, sf_dir).where(~is_blank(F.col("chunk")))
     return parsing.parse_responses(completion.answered(answers))
 
 
@@ -215,19 +230,70 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyzed(views.reviews(spark, sf_dir), offline_client)
 
 
+ANALYSIS = (
+    "review_key",
+    "token_count",
+    "sentiment",
+    "confidence",
+    "key_points_str",
+    "llm_summary",
+    "raw_llm_response",
+    "chunks_analyzed",
+)
+
+
 def analyze_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _enriched(spark, sf_dir).select(
-        "review_key",
-        "token_count",
-        "sentiment",
-        "confidence",
-        "key_points_str",
-        "llm_summary",
-        "raw_llm_response",
-        "chunks_analyzed",
+    return _enriched(spark, sf_dir).select(*ANALYSIS)
+
+
+def _source_products(reviews: DataFrame) -> DataFrame:
+    """A product per source, as its page would give it."""
+    products = reviews.groupBy("source_url").agg(
+        F.max("product_title").alias("product_title"), F.max("rating").alias("overall_rating")
+    )
+    return products.select(
+        "product_title",
+        "overall_rating",
+        *[F.lit("N/A").alias(name) for name in ("price", "availability", "description")],
+        F.create_map(F.lit("lang"), F.lit("any")).alias("specs"),
+        F.col("source_url").alias("scraped_url"),
+        moment(RUN_TIME).alias("scraped_at"),
     )
 
 
+def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run that goes on where one was cut off: its products, preprocessed reviews
+    and a third of its responses were there."""
+    folder, reviews = run_folder(spark), views.reviews(spark, sf_dir)
+    products = _source_products(reviews)
+    cut_off = Store(folder, "run")
+    cut_off.keep(products, "products")
+    preprocessed = cut_off.keep(chunks.preprocess_reviews(reviews), "preprocessed")
+    prompts = asking.chunk_prompts(preprocessed)
+    responses = cut_off.path("responses")
+    asking.ask_chunks(prompts, responses, offline_client, rounds=3, most_rounds=1)
+    run = run_reviews(
+        reviews, products, folder, "run", RUN_TIME, resume=True, rounds=2, client_factory=offline_client
+    )
+    return spark.read.parquet(run.enriched_path).select(*ANALYSIS)
+
+
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a whole run reports and what its files hold, per product."""
+    reviews = views.reviews(spark, sf_dir)
+    run = run_reviews(
+        reviews, _source_products(reviews), run_folder(spark), "run", RUN_TIME, client_factory=offline_client
+    )
+    header = run.report["header"].select("product_title", F.col("scraped_url").alias("source_url"))
+    rows = flat.read_csv(spark, run.csv_path).groupBy("source_url").agg(F.count("*").alias("csv_rows"))
+    listed = documents.read_openings(spark, run.json_path).select(
+        "source_url", F.col("total_reviews").alias("json_reviews")
+    )
+    figures = run.report["metrics"].drop("product_title").join(run.report["stats"], "source_url")
+    joined = header.join(figures, "source_url").join(rows, "source_url").join(listed, "source_url")
+    return _rounded(joined, "avg_rating", "avg_confidence", "avg_tokens")
+
+
 # Output
 
 
@@ -241,22 +307,18 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.read_csv(spark, path)
 
 
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the form of one line a record, which is read in many tasks."""
+    path = f"{run_folder(spark)}/csv"
+    flat.write_csv(flat.export_rows(_preprocessed(spark, sf_dir)), path, splittable=True)
+    return flat.read_csv(spark, path, splittable=True)
+
+
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark)
     documents.with_json_bytes(_enriched(spark, sf_dir)).write.parquet(f"{folder}/enriched")
     enriched = spark.read.parquet(f"{folder}/enriched")
-    products = enriched.groupBy("source_url").agg(
-        F.max("product_title").alias("product_title"), F.max("rating").alias("overall_rating")
-    )
-    metadata = products.select(
-        "product_title",
-        "overall_rating",
-        *[F.lit("N/A").alias(name) for name in ("price", "availability", "description")],
-        F.create_map(F.lit("lang"), F.lit("any")).alias("specs"),
-        F.col("source_url").alias("scraped_url"),
-        moment(RUN_TIME).alias("scraped_at"),
-    )
-    documents.write_documents(enriched, metadata, f"{folder}/json", RUN_TIME)
+    documents.write_documents(enriched, _source_products(enriched), f"{folder}/json", RUN_TIME)
     fields = (
         "review_id string, rating int, cleaned_text string, chunk_count int, sentiment string, "
         "confidence double, key_points array<string>, raw_llm_response string"
@@ -270,12 +332,8 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sums = reviews.groupBy("source_url").agg(
         F.count("*").cast("int").alias("listed"),
-        F.md5(
-            F.array_join(
-                F.array_sort(F.collect_list(F.struct("review_key", "review.review_id")))["review_id"],
-                ",",
-            )
-        ).alias("ids_digest"),
+        # Equal where the same reviews are there, whatever their order, and added map-side.
+        F.sum(_digest(F.concat_ws("|", "review_key", "review.review_id"))).alias("ids_digest"),
         total(F.coalesce(review["rating"], F.lit(0))).alias("rating_sum"),
         total(F.length(review["cleaned_text"])).alias("text_length"),
         total(review["chunk_count"]).alias("chunks"),
@@ -284,8 +342,10 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         total(F.length(review["raw_llm_response"])).alias("raw_length"),
         total(review["sentiment"] == "Mixed").alias("mixed"),
     )
+    misplaced = documents.misplaced_pieces(spark, f"{folder}/json")
     page = F.col("product_metadata")
-    return openings.join(sums, "source_url").select(
+    joined = openings.join(sums, "source_url").join(misplaced, "source_url", "left")
+    return joined.select(
         page["scraped_url"].alias("source_url"),
         page["product_title"].alias("product_title"),
         page["overall_rating"].cast("int").alias("overall_rating"),
@@ -293,9 +353,15 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "generated_at",
         "total_reviews",
         *[name for name in sums.columns if name != "source_url"],
+        F.coalesce("misplaced", F.lit(0)).cast("int").alias("misplaced"),
     )
 
 
+def _digest(text):
+    """A number of 44 bits from a text; a million million of them fit one sum."""
+    return F.conv(F.substring(F.md5(text), 1, 11), 16, 10).cast("bigint")
+
+
 # Report
 
 
@@ -347,6 +413,7 @@ QUERIES = {
     "explode_chunks": explode_chunks,
     "completion": completion_answers,
     "retry_outcomes": retry_outcomes,
+    "stored_responses": stored_responses,
     "parse_fields": parse_fields,
     "parse_key_points": parse_key_points,
     "parse_malformed": parse_malformed,
@@ -355,8 +422,11 @@ QUERIES = {
     "merge_key_points": merge_key_points,
     "merge_summary": merge_summary,
     "analyze_reviews": analyze_reviews,
+    "resumed_run": resumed_run,
+    "whole_run": whole_run,
     "export_rows": export_rows,
     "csv_roundtrip": csv_roundtrip,
+    "csv_lines": csv_lines,
     "json_documents": json_documents,
     "report_header": report_header,
     "report_stats": report_stats,

@@ -64,6 +64,10 @@ DIRT = (
 )
 
 
+# Positions of added blank chunks.
+BLANKS_FROM = 1_000_000
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/documents.parquet", "doc_id")
 
@@ -94,12 +98,16 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F4 before the answer: chunks with their position, some of them blank."""
+    """F4 before the answer: every turn as a chunk with its position, and blank ones added."""
     talks = read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id", "turn")
-    return talks.select(
+    texts = talks.select(
         F.col("conv_id").alias("review_key"),
         F.col("turn").cast("int").alias("chunk_idx"),
-        F.when(F.col("turn") % 5 == 3, "").otherwise(F.col("text")).alias("chunk"),
+        F.col("text").alias("chunk"),
+    )
+    blanks = texts.where(F.col("chunk_idx") % 5 == 3)
+    return texts.union(
+        blanks.select("review_key", F.col("chunk_idx") + BLANKS_FROM, F.lit(" \u2003"))
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,12 +46,22 @@ def _where(needed: Column, step: Column, text: Column) -> Column:
 
 
 def compose(text: Column) -> Column:
-    """Unicode NFC by the ICU library on Spark's own class path: no text leaves
-    the JVM, and only those with a character that may change go there."""
-    composed = F.reflect(
-        F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False)
-    )
-    return _where(text.rlike(f"[^{ALWAYS_COMPOSED}]"), composed, text)
+    """Unicode NFC. Only texts with a character that may change travel to Python, in
+    Arrow batches; all others stay where they are.
+
+    The call is deterministic, so that filters on other columns pass it and reach the
+    scan. It cannot stand inside a ``stepwise`` step.
+    """
+
+    @F.arrow_udf("string")
+    def composed(texts: pa.Array) -> pa.Array:
+        return pa.array(
+            [None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()],
+            pa.string(),
+        )
+
+    needed = text.rlike(f"[^{ALWAYS_COMPOSED}]")
+    return F.coalesce(composed(F.when(needed, text)), text)
 
 
 def replace_typographic(text: Column) -> Column:
@@ -62,11 +75,10 @@ def fix_encoding(text: Column) -> Column:
     """NFC, then plain forms of typographic characters."""
 
     def fix(value: Column) -> Column:
-        # Latin text without typographic characters has neither to fear.
-        fixed = stepwise(value, compose, replace_typographic)
-        return _where(value.rlike(r"[\u00A0\u0300-\x{10FFFF}]"), fixed, value)
+        # Latin text has no typographic character but this space.
+        return _where(value.rlike(r"[\u00A0\u0300-\x{10FFFF}]"), replace_typographic(value), value)
 
-    return stepwise(F.coalesce(text, F.lit("")), fix)
+    return stepwise(compose(F.coalesce(text, F.lit(""))), fix)
 
 
 def strip_tags(text: Column) -> Column:

@@ -2,17 +2,20 @@
 
 A client is any ``client(prompt, temperature=..., max_tokens=...) -> str | None``
 and a client factory is a function without arguments that makes one on the
-executor. The call is marked nondeterministic, so Catalyst never repeats it for
+executor. With ``CompletionSettings(batch=n)`` it takes a list of up to n prompts and
+returns as many answers, an exception in place of each that failed. The call is marked nondeterministic, so Catalyst never repeats it for
 a filter or a second projection; write the result before using it twice.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import batched, islice
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,15 @@ from reviewloom.schemas import ANSWER
 
 ClientFactory = Callable[[], Callable]
 
+ANSWER_TYPE = pa.struct(
+    [
+        ("raw_response", pa.string()),
+        ("attempts", pa.int32()),
+        ("error_class", pa.string()),
+        ("waited", pa.float64()),
+    ]
+)
+
 # Marks of an error message (lower case) by class, tried in order.
 ERROR_MARKS = (
     ("rate_limit", ("rate limit", "429")),
@@ -42,6 +54,8 @@ class CompletionSettings:
     max_tokens: int = 300
     # Pause after each call; bounds the rate of one task.
     delay: float = 0.0
+    # Prompts of a call, for clients that take lists.
+    batch: int | None = None
     sleep: Callable[[float], None] = time.sleep
 
 
@@ -73,6 +87,61 @@ def ask(client: Callable, prompt: str, settings: CompletionSettings) -> dict:
     return _answer(None, attempt, failure, waited)
 
 
+def ask_batch(client: Callable, prompts: list[str], settings: CompletionSettings) -> list[dict]:
+    """Prompts of one call to as many answers. Those that fail are asked again, together
+    and without the others; an exception of the whole call is each one's own."""
+    answers: list = [None] * len(prompts)
+    waited, attempt, open_ = 0.0, 0, list(range(len(prompts)))
+    while open_:
+        attempt += 1
+        replies = _replies(client, [prompts[i] for i in open_], settings)
+        failures = {
+            i: error_class(str(reply))
+            for i, reply in zip(open_, replies)
+            if isinstance(reply, Exception)
+        }
+        for i, reply in zip(open_, replies):
+            if i not in failures or failures[i] in FINAL_ERRORS:
+                text = None if i in failures else reply
+                answers[i] = _answer(text, attempt, failures.get(i), waited)
+        open_ = [i for i in failures if failures[i] not in FINAL_ERRORS]
+        if open_:
+            pause = min(settings.first_wait * 2 ** (attempt - 1), settings.max_wait)
+            settings.sleep(pause)
+            waited += pause
+        if attempt == settings.attempts:
+            for i in open_:
+                answers[i] = _answer(None, attempt, failures[i], waited)
+            break
+    return answers
+
+
+def _replies(client: Callable, prompts: list[str], settings: CompletionSettings) -> list:
+    try:
+        replies = list(
+            client(prompts, temperature=settings.temperature, max_tokens=settings.max_tokens)
+        )
+        if len(replies) != len(prompts):
+            raise ValueError(f"{len(replies)} answers to {len(prompts)} prompts")
+    except Exception as error:
+        return [error] * len(prompts)
+    return replies
+
+
+def ask_all(
+    client: Callable, prompts: Iterable[str], settings: CompletionSettings
+) -> Iterator[dict]:
+    """Answers in the order of the prompts, of which those of one call are held."""
+    if settings.batch is None:
+        groups = ([ask(client, prompt, settings)] for prompt in prompts)
+    else:
+        groups = (ask_batch(client, list(x), settings) for x in batched(prompts, settings.batch))
+    for group in groups:
+        yield from group
+        if settings.delay:
+            settings.sleep(settings.delay)
+
+
 def _answer(text: str | None, attempts: int, failure: str | None, waited: float) -> dict:
     return {
         "raw_response": text,
@@ -92,31 +161,16 @@ def complete(
     Only the prompts travel to Python; the other columns of the row stay in the
     JVM, so neither a join nor a shuffle is needed to bring answers home.
     """
-    answer_type = pa.list_(
-        pa.struct(
-            [
-                ("raw_response", pa.string()),
-                ("attempts", pa.int32()),
-                ("error_class", pa.string()),
-                ("waited", pa.float64()),
-            ]
-        )
-    )
 
     @F.arrow_udf(f"array<{ANSWER}>")
     def answers(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         client = client_factory()
         for batch in batches:
-            rows = []
-            for prompts_of_row in batch:
-                asked = prompts_of_row.as_py() or []
-                row = []
-                for prompt in asked:
-                    row.append(ask(client, prompt, settings))
-                    if settings.delay:
-                        settings.sleep(settings.delay)
-                rows.append(row)
-            yield pa.array(rows, answer_type)
+            sizes = [0 if size is None else size for size in pc.list_value_length(batch).to_pylist()]
+            # Across rows, so that calls are full; a prompt leaves Arrow when it is asked.
+            asked = (prompt.as_py() for prompts in batch if prompts.is_valid for prompt in prompts.values)
+            found = ask_all(client, asked, settings)
+            yield pa.array([list(islice(found, size)) for size in sizes], pa.list_(ANSWER_TYPE))
 
     return answers.asNondeterministic()(prompts)
 

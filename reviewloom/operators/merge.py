@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.rounding import round3
+from reviewloom.operators.chunks import chunks_or_text
 from reviewloom.operators.completion import (
     ClientFactory,
     CompletionSettings,
     add_answers,
+    answered,
 )
 from reviewloom.operators.responses import KEY_POINT_SEPARATOR, NO_SENTIMENT, parse_answers
 
@@ -76,9 +78,26 @@ def analyze_reviews(
     One narrow pass from text to result: a review never meets another one, so
     nothing is shuffled whatever the sizes of products or sources.
     """
-    parsed = add_answers(preprocessed, client_factory, settings).withColumn(
-        "_parsed", parse_answers(F.col("raw_responses"))
+    return merge_in_row(add_answers(preprocessed, client_factory, settings))
+
+
+def analyze_stored(preprocessed: DataFrame, responses: DataFrame) -> DataFrame:
+    """The same result from a stored table of responses (see ``asking``).
+
+    The raw answers of a review are one value of its result, joined; here they come
+    together as an array, in one shuffle, and the rest is as in the row.
+    """
+    gathered = answered(responses).groupBy("review_key").agg(
+        F.array_sort(F.collect_list(F.struct("chunk_idx", "raw_response"))).alias("_answers")
     )
+    raws = F.coalesce(F.col("_answers.raw_response"), F.array().cast("array<string>"))
+    joined = preprocessed.join(gathered, "review_key", "left")
+    return merge_in_row(joined.withColumn("raw_responses", raws).drop("_answers"))
+
+
+def merge_in_row(reviews: DataFrame) -> DataFrame:
+    """Reviews with ``raw_responses``, the answers to their chunks in order, to results."""
+    parsed = reviews.withColumn("_parsed", parse_answers(F.col("raw_responses")))
     # Columns of their own first: the expressions below read them several times.
     merged = parsed.withColumns(
         {
@@ -96,7 +115,7 @@ def analyze_reviews(
                 F.get(F.col("_parsed.llm_summary"), F.lit(0)), F.lit(NO_SUMMARY)
             ),
             "raw_llm_response": F.array_join("raw_responses", RAW_SEPARATOR),
-            "chunks_analyzed": F.size("chunks"),
+            "chunks_analyzed": F.size(chunks_or_text(reviews)),
         }
     ).drop("_parsed", "_labels", "_mean", "raw_responses")
 
@@ -105,8 +124,10 @@ def analyze_reviews(
 
 
 def merge_sentiment(parsed: DataFrame) -> DataFrame:
-    """Vote per review from partial counts: (review, label) first, then review."""
-    counts = parsed.groupBy("review_key", "sentiment").agg(
+    """Vote per review from counts: (review, label) first, then review, both where one
+    shuffle by review has put the rows."""
+    placed = parsed.select("review_key", "chunk_idx", "sentiment").repartition("review_key")
+    counts = placed.groupBy("review_key", "sentiment").agg(
         F.count("*").alias("votes"), F.min("chunk_idx").alias("first_seen")
     )
     top = F.max(
@@ -143,10 +164,11 @@ def merge_confidence(parsed: DataFrame) -> DataFrame:
 def merge_key_points(parsed: DataFrame) -> DataFrame:
     """First five different key points per review, in order of appearance.
 
-    Repeats fall away in the map-side half of the aggregate and at most five
-    points per review and task pass the group limit below the window.
+    One shuffle by review serves all steps: repeats fall away where the rows are, and
+    at most five points per review pass the window.
     """
-    points = parsed.select(
+    placed = parsed.select("review_key", "chunk_idx", "key_points").repartition("review_key")
+    points = placed.select(
         "review_key", "chunk_idx", F.posexplode_outer("key_points").alias("position", "point")
     )
     # Chunk and position in one number, which a hash aggregate can hold.

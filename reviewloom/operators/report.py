@@ -13,8 +13,6 @@ PER_PRODUCT = ("source_url",)
 FAILED_SENTIMENTS = ("Unknown", "")
 BAR = "\u2588"
 LABEL_WIDTH = 10
-# Longest bar drawn; the exact number stands beside it.
-BAR_WIDTH = 60
 SAMPLE_SIZE = 3
 
 
@@ -46,8 +44,12 @@ def report_stats(enriched: DataFrame, by=PER_PRODUCT) -> DataFrame:
     )
 
 
-def sentiment_breakdown(enriched: DataFrame, by=()) -> DataFrame:
-    """Reviews per label, most frequent first, with the label and bar as drawn."""
+def sentiment_breakdown(enriched: DataFrame, by=(), reviews_per_mark: int = 1) -> DataFrame:
+    """Reviews per label, most frequent first, with the label and bar as drawn.
+
+    A mark stands for a review, or for up to ``reviews_per_mark``; with so many reviews
+    that a line of one mark each is no text any more (2^31 bytes), give a larger one.
+    """
     # The group of nulls counts 0. A filter on the label itself would sink below
     # the aggregate and work the label out twice where it is not stored.
     counts = (
@@ -59,7 +61,7 @@ def sentiment_breakdown(enriched: DataFrame, by=()) -> DataFrame:
     padded = F.when(
         F.length("sentiment") < LABEL_WIDTH, F.rpad("sentiment", LABEL_WIDTH, " ")
     ).otherwise(F.col("sentiment"))
-    length = F.least(F.col("reviews"), F.lit(BAR_WIDTH)).cast("int")
+    length = F.ceil(F.col("reviews") / reviews_per_mark).cast("int")
     return (
         counts.orderBy(*by, F.desc("reviews"), "first_key")
         .withColumns({"label": padded, "bar": F.repeat(F.lit(BAR), length)})

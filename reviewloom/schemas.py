@@ -3,6 +3,9 @@
 # One answer of the completion client, per prompt.
 ANSWER = "struct<raw_response:string,attempts:int,error_class:string,waited:double>"
 
+# A stored response: what (review_key, chunk_idx) was answered.
+RESPONSE_FIELDS = "raw_response string, attempts int, error_class string, waited double"
+
 # Fields read from one product page; specs holds whatever rows the page's
 # specification table has.
 PAGE_FIELDS = (

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.times import iso, moment
@@ -81,16 +81,22 @@ def _opening(generated_at: datetime) -> Column:
 
 
 def write_documents(
-    enriched: DataFrame, products: DataFrame, path: str, generated_at: datetime
+    enriched: DataFrame,
+    products: DataFrame,
+    path: str,
+    generated_at: datetime,
+    overwrite: bool = False,
 ) -> str:
-    """Write all documents. Reads ``enriched`` more than once: pass a stored table,
+    """Write all documents, the pieces last. Reads ``enriched`` more than once: pass a stored table,
     with a review_key that is unique within its product."""
-    spark = enriched.sparkSession
+    spark, mode = enriched.sparkSession, "overwrite" if overwrite else "errorifexists"
     sized = enriched if STORED_BYTES in enriched.columns else with_json_bytes(enriched)
     totals = sized.groupBy(_address("source_url")).agg(
         F.count("*").alias("total_reviews"), F.sum(F.col(STORED_BYTES) + 1).alias("bytes")
     )
-    totals.join(metadata_json(products), "source_url", "left").write.parquet(f"{path}/index")
+    totals.join(metadata_json(products), "source_url", "left").write.mode(mode).parquet(
+        f"{path}/index"
+    )
     index = spark.read.parquet(f"{path}/index")
     all_bytes = index.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
 
@@ -111,10 +117,32 @@ def write_documents(
     # The range covers the review key, so a product is spread over many tasks.
     tasks = all_bytes // PART_BYTES + 1
     ordered = pieces.repartitionByRange(tasks, *PIECE_ORDER).sortWithinPartitions(*PIECE_ORDER)
-    ordered.write.parquet(f"{path}/pieces")
+    ordered.write.mode(mode).parquet(f"{path}/pieces")
     return path
 
 
+def misplaced_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """source_url and how many of its pieces stand before one that belongs before them.
+
+    A piece is compared with the one before it in its file, and the first of a file with
+    the last of the file before it; a file is a bounded part of the order.
+    """
+    rows = spark.read.parquet(f"{path}/pieces").select(
+        F.struct(*PIECE_ORDER).alias("place"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+    )
+    in_file = Window.partitionBy("file").orderBy("row")
+    inside = rows.select("place", F.lag("place").over(in_file).alias("before"))
+    edges = rows.groupBy("file").agg(
+        F.min_by("place", "row").alias("place"), F.max_by("place", "row").alias("last")
+    )
+    # A row per file. File names ascend as the ranges do.
+    between = edges.select("place", F.lag("last").over(Window.orderBy("file")).alias("before"))
+    wrong = inside.union(between).where(F.col("before") > F.col("place"))
+    return wrong.groupBy("place.source_url").agg(F.count("*").alias("misplaced"))
+
+
 def read_openings(spark: SparkSession, path: str) -> DataFrame:
     """source_url and the fields that stand before the reviews, for every document."""
     schema = "product_metadata map<string,string>, total_reviews bigint, generated_at string"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from reviewloom.schemas import EXPORT_COLUMNS
 
@@ -34,11 +35,47 @@ def export_rows(reviews: DataFrame) -> DataFrame:
     return reviews.select(*[exported(name) for name in EXPORT_COLUMNS])
 
 
-def write_csv(export: DataFrame, path: str) -> str:
+def _texts(table: DataFrame, change) -> DataFrame:
+    """The table with every text column changed."""
+    return table.select(
+        *[
+            change(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else f.name
+            for f in table.schema
+        ]
+    )
+
+
+def one_line(text: Column) -> Column:
+    """A text without line ends: they are written as \\n and \\r, a backslash as two."""
+    for character, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(character), F.lit(written))
+    return text
+
+
+def all_lines(text: Column) -> Column:
+    """The text that ``one_line`` wrote. A pair of backslashes is set apart first, as what
+    follows it is none of its letters."""
+    parts = F.transform(
+        F.split(text, r"\\\\", -1),
+        lambda part: F.replace(
+            F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")
+        ),
+    )
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(parts, "\\")).otherwise(text)
+
+
+def write_csv(
+    export: DataFrame, path: str, overwrite: bool = False, splittable: bool = False
+) -> str:
     """CSV with header and doubled quotes; each file opens with a byte order mark.
 
-    The mark is part of the first column's name, hence of the header line.
+    The mark is part of the first column's name, hence of the header line. A line end in
+    a text stands in quotes, as other readers expect it; such a file is read by one task.
+    With ``splittable`` a record is one line (see ``one_line``), and any part of a file
+    can be read by itself.
     """
+    if splittable:
+        export = _texts(export, one_line)
     first, *rest = export.columns
     marked = export.select(F.col(first).alias(BYTE_ORDER_MARK + first), *rest)
     marked.write.csv(
@@ -48,14 +85,22 @@ def write_csv(export: DataFrame, path: str) -> str:
         emptyValue="",
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
-        mode="errorifexists",
+        mode="overwrite" if overwrite else "errorifexists",
     )
     return path
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A written export; empty text comes back as null."""
+def read_csv(spark: SparkSession, path: str, splittable: bool = False) -> DataFrame:
+    """A written export, in the form it was written in; empty text comes back as null."""
     fields = ", ".join(f"{name} {NUMERIC.get(name, 'string')}" for name in EXPORT_COLUMNS)
-    return spark.read.csv(
-        path, schema=fields, header=True, enforceSchema=True, multiLine=True, escape='"'
+    table = spark.read.csv(
+        path,
+        schema=fields,
+        header=True,
+        enforceSchema=True,
+        multiLine=not splittable,
+        escape='"',
+        # One value may be longer than the parser's own limit.
+        maxCharsPerColumn=-1,
     )
+    return _texts(table, all_lines) if splittable else table

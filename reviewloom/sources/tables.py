@@ -34,6 +34,18 @@ def fetched(pages: DataFrame, url: str | None = None) -> DataFrame:
     return present if url is None else present.where(F.col("url") == url)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is stored there, on whatever storage Spark reads."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end there, by the mark that Spark's writers leave."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def run_folder(spark: SparkSession) -> str:
     """A new folder on the storage all executors share.
 

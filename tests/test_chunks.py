@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,19 +18,23 @@ def count(text):
     return int(len(text.split()) * 1.3)
 
 
-def packed(text, limit):
-    """Brute force: sentence after sentence into the current chunk while it fits."""
-    if count(text) <= limit:
-        return [text]
-    groups, filled = [], 0
-    for sentence in re.split(r"(?<=[.!?])\s+", text):
-        if groups and filled + count(sentence) <= limit:
-            groups[-1].append(sentence)
-            filled += count(sentence)
-        else:
-            groups.append([sentence])
-            filled = count(sentence)
-    return [" ".join(group) for group in groups]
+def check_chunks(text, chunks, limit, size=count):
+    """Whole, within the limit, and none could have taken the sentence after it."""
+    sentences = re.split(r"(?<=[.!?])\s+", text)
+    if size(text) <= limit:
+        assert chunks == [text]
+        return
+    assert " ".join(chunks) == " ".join(sentences)
+    at = 0
+    for chunk in chunks:
+        first = at
+        while " ".join(sentences[first:at]) != chunk:
+            at += 1
+        sizes = [size(sentence) for sentence in sentences[first:at]]
+        assert sum(sizes) <= limit or len(sizes) == 1
+        if at < len(sentences):
+            assert sum(sizes) + size(sentences[at]) > limit
+    assert at == len(sentences)
 
 
 def random_review(rng):
@@ -51,7 +56,7 @@ def test_packing_against_brute_force(spark, limit):
     texts = [random_review(rng) for _ in range(120)]
     for row in preprocessed(spark, texts, max_tokens=limit).collect():
         assert row.token_count == count(row.cleaned_text)
-        assert row.chunks == packed(row.cleaned_text, limit)
+        check_chunks(row.cleaned_text, row.chunks, limit)
         assert row.chunk_count == len(row.chunks) >= 1
         # Nothing is lost and nothing is repeated.
         assert " ".join(row.chunks).split() == row.cleaned_text.split()
@@ -77,7 +82,8 @@ def test_limit_is_inclusive(spark):
     texts = ["a. " * n for n in (307, 308, 309)]
     found = [(r.token_count, r.chunk_count) for r in preprocessed(spark, texts).collect()]
     assert found[:2] == [(399, 1), (400, 1)]
-    assert found[2][0] == 401 and found[2][1] == len(packed(texts[2].strip(), 400))
+    # Above the limit as a whole, but its 309 sentences count one token each.
+    assert found[2] == (401, 1)
 
 
 def test_other_counter(spark):
@@ -103,11 +109,32 @@ def test_vocabulary_counter(spark):
     assert [r.token_count for r in rows] == [14, 6, 0]
 
 
-def test_many_sentences_stay_linear(spark):
-    text = "Some words stand here. " * 20_000
-    row = preprocessed(spark, [text]).first()
-    assert row.token_count == 104_000
-    assert row.chunk_count == len(packed(text.strip(), 400))
+def test_texts_with_the_marks_of_chunks(spark):
+    from reviewloom.operators.chunks import add_chunks, add_token_count
+
+    texts = ["a\x01b c. \x02 d\x02c e. " * 9, "\x01\x01. \x02e\x02\x02c. " * 9, "no. marks. " * 9]
+    texts = [text.strip() for text in texts]
+    rows = spark.createDataFrame([(t,) for t in texts], "cleaned_text string")
+    for row in add_chunks(add_token_count(rows), max_tokens=5).collect():
+        check_chunks(row.cleaned_text, row.chunks, 5)
+        assert len(row.chunks) > 3
+
+
+def test_time_is_linear_in_the_text(spark):
+    def seconds(repeats):
+        rows = preprocessed(spark, ["Some words stand here. " * repeats])
+        started = time.perf_counter()
+        row = rows.select("token_count", "chunk_count", "chunks").first()
+        found = time.perf_counter() - started
+        # A sentence is five tokens, a chunk eighty sentences.
+        assert (row.token_count, row.chunk_count) == (int(4 * repeats * 1.3), -(-repeats // 80))
+        assert row.chunks[0] == ("Some words stand here. " * 80).strip()
+        return found
+
+    seconds(20_000)
+    small, large = (min(seconds(n) for _ in range(2)) for n in (45_000, 720_000))
+    # 1 and 16 MB; a quadratic step would take 256 times as long.
+    assert large < 40 * small
 
 
 def test_metrics(spark):

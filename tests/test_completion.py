@@ -6,6 +6,8 @@ from reviewloom.operators.completion import (
     add_answers,
     answered,
     ask,
+    ask_all,
+    ask_batch,
     complete,
     complete_chunks,
     error_class,
@@ -13,6 +15,7 @@ from reviewloom.operators.completion import (
 from checks.offline_client import canned_answer, offline_client, reviewed_text
 from reviewloom.operators.prompts import build_prompt
 
+# Fixed value: the prompt as it must come out.
 PROMPT = """You are a product review analyst. Analyze the following customer review and return a structured analysis.
 
 {context}
@@ -158,3 +161,70 @@ def test_filter_does_not_repeat_the_call(spark):
         .toString()
     )
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_an_error_in_a_batch_leaves_the_others():
+    asked, slept = [], []
+
+    def client(prompts, temperature, max_tokens):
+        assert (temperature, max_tokens) == (0.3, 300)
+        asked.append(list(prompts))
+        return [
+            RuntimeError("401") if p == "bad" else RuntimeError("503") if p == "slow" and len(asked) < 3 else
+            RuntimeError("boom") if p == "never" else None if p == "nothing" else p.upper()
+            for p in prompts
+        ]
+
+    settings = CompletionSettings(sleep=slept.append)
+    found = ask_batch(client, ["a", "bad", "slow", "nothing", "never"], settings)
+    assert [(x["raw_response"], x["attempts"], x["error_class"], x["waited"]) for x in found] == [
+        ("A", 1, None, 0), (None, 1, "auth", 0), ("SLOW", 3, None, 6), (None, 1, None, 0),
+        (None, 4, "other", 30),
+    ]
+    assert asked == [["a", "bad", "slow", "nothing", "never"], *[["slow", "never"]] * 2, ["never"]]
+    assert slept == [2, 4, 8, 16]
+
+
+def test_an_error_of_the_whole_call_is_everyones():
+    replies = [RuntimeError("429"), ["one"], ["x", "y"]]
+
+    def client(prompts, temperature, max_tokens):
+        reply = replies.pop(0)
+        if isinstance(reply, Exception):
+            raise reply
+        return reply
+
+    # The second call answers too few prompts, which is an error too.
+    found = ask_batch(client, ["p", "q"], CompletionSettings(sleep=lambda _: None))
+    assert [(x["raw_response"], x["attempts"]) for x in found] == [("x", 3), ("y", 3)]
+
+
+def test_no_more_prompts_are_held_than_a_call_takes():
+    taken, calls = [], []
+
+    def prompts():
+        for i in range(10):
+            taken.append(i)
+            yield f"p{i}"
+
+    def client(batch, temperature, max_tokens):
+        calls.append((len(batch), len(taken)))
+        return batch
+
+    found = ask_all(client, prompts(), CompletionSettings(batch=4))
+    assert next(found)["raw_response"] == "p0" and len(taken) == 4
+    assert [x["raw_response"] for x in found] == [f"p{i}" for i in range(1, 10)]
+    assert calls == [(4, 4), (4, 8), (2, 10)]
+
+
+def test_batches_reach_across_rows(spark):
+    def factory():
+        return lambda prompts, temperature, max_tokens: [f"{p}/{len(prompts)}" for p in prompts]
+
+    rows = spark.createDataFrame(
+        [(["a", "b"],), (["c"],), ([],), (None,), (["d", "e"],)], "p array<string>"
+    )
+    settings = CompletionSettings(batch=3)
+    out = rows.coalesce(1).select(complete(F.col("p"), factory, settings).alias("r"))
+    raws = [[a.raw_response for a in row.r] for row in out.collect()]
+    assert raws == [["a/3", "b/3"], ["c/3"], [], [], ["d/2", "e/2"]]

@@ -1,6 +1,8 @@
 import csv
 import io
 import json
+import os
+import shutil
 from datetime import datetime
 from pathlib import Path
 
@@ -11,7 +13,7 @@ from reviewloom.operators import report
 from reviewloom.plans.workflow import run_pages, run_reviews
 from reviewloom.schemas import EXPORT_COLUMNS
 from checks.offline_client import offline_client
-from reviewloom.sinks.documents import PIECE_ORDER, write_documents
+from reviewloom.sinks.documents import PIECE_ORDER, misplaced_pieces, write_documents
 from reviewloom.sinks.flat import export_rows, read_csv, write_csv
 
 WHEN = datetime(2024, 5, 20, 14, 32, 1)
@@ -223,3 +225,71 @@ def test_nothing_to_do_is_an_error(spark, tmp_path):
     )
     with pytest.raises(ValueError, match="no reviews"):
         run_reviews(reviews, product_rows(spark), str(tmp_path), "none", WHEN, client_factory=offline_client)
+
+
+def test_records_of_one_line_are_read_in_parts(spark, tmp_path):
+    texts = ["plain", 'q"uo,ted', "two\nlines", "\r\n", "back\\slash", "\\n no line end", "\\\\n", "\\\n\\", "\\", "é x", " s "]
+    texts += [c + d + e for c in "\\\nnr" for d in "\\\rnr" for e in "\\\n\rnx"]
+    rows = [(str(i), texts[i % len(texts)], i) for i in range(3000)]
+    table = spark.createDataFrame(rows, "review_id string, cleaned_text string, token_count int")
+    path = write_csv(export_rows(table).coalesce(1), str(tmp_path / "lines"), splittable=True)
+    assert len([name for name in os.listdir(path) if name.endswith(".csv")]) == 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 3_000)
+    try:
+        found = read_csv(spark, path, splittable=True)
+        assert found.rdd.getNumPartitions() > 10
+        assert {(r.review_id, r.cleaned_review, r.token_count) for r in found.collect()} == set(rows)
+        assert found.count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    # A record is a line, for any reader.
+    (name,) = (name for name in os.listdir(path) if name.endswith(".csv"))
+    with open(f"{path}/{name}", newline="") as file:
+        assert file.read().count("\n") == len(rows) + 1
+
+
+def test_misplaced_pieces_are_found(spark, tmp_path):
+    rows = [("u", 0, None, "{"), ("u", 1, 1, "a"), ("u", 1, 2, "b"), ("u", 2, None, "}"), ("v", 0, None, "{")]
+
+    def misplaced(*files):
+        path = str(tmp_path / str(len(os.listdir(tmp_path))))
+        for i, part in enumerate(files):
+            table = spark.createDataFrame(part, "source_url string, section int, review_key int, value string")
+            table.coalesce(1).write.parquet(f"{path}/tmp{i}")
+            os.makedirs(f"{path}/pieces", exist_ok=True)
+            (name,) = (n for n in os.listdir(f"{path}/tmp{i}") if n.endswith(".parquet"))
+            shutil.copy(f"{path}/tmp{i}/{name}", f"{path}/pieces/part-{i:05}.parquet")
+        return {r.source_url: r.misplaced for r in misplaced_pieces(spark, path).collect()}
+
+    assert misplaced(rows) == misplaced(rows[:2], rows[2:]) == {}
+    assert misplaced([rows[0], rows[2], rows[1], *rows[3:]]) == {"u": 1}
+    assert misplaced(rows[2:], rows[:2]) == {"u": 1}
+    assert misplaced(rows[:2], [rows[3], rows[2]], rows[4:]) == {"u": 1}
+
+
+def test_a_bar_for_every_count(spark):
+    rows = [(i, "u", "a", "Positive" if i < 90 else "Mixed", None, None) for i in range(95)]
+    enriched = enriched_rows(spark, rows)
+    bars = {r.sentiment: len(r.bar) for r in report.sentiment_breakdown(enriched).collect()}
+    assert bars == {"Positive": 90, "Mixed": 5}
+    tens = report.sentiment_breakdown(enriched, reviews_per_mark=10).collect()
+    assert {r.sentiment: len(r.bar) for r in tens} == {"Positive": 9, "Mixed": 1}
+
+
+def test_ratings_of_generated_reviews(spark):
+    from reviewloom.operators.generate import generate_reviews
+
+    wanted = {
+        0: [0, 1, 5, 1, 0, 5, 2], 1: [1, 1, 5, 1, 1, 5, 2], 3: [3, 2, 5, 1, 3, 5, 2], 4: [4, 3, 5, 2, 4, 5, 3],
+        5: [5, 4, 5, 3, 5, 5, 4], 7: [5, 6, 5, 5, 7, 5, 6], None: [None] * 7,
+    }
+    products = spark.createDataFrame(
+        [("t", n, "d" * 200, f"u{n}") for n in wanted],
+        "product_title string, overall_rating int, description string, scraped_url string",
+    )
+    found = {n: [None] * 7 for n in wanted}
+    for r in generate_reviews(products).collect():
+        name, place = r.review_key.split("#")
+        found[None if name == "uNone" else int(name[1:])][int(place)] = r.rating
+    assert found == wanted

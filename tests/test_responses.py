@@ -3,41 +3,10 @@ import random
 from reviewloom.operators.responses import parse_answers, parse_responses
 
 
-def read(raw):
-    """The rules once more, line by line."""
-    found = {"sentiment": "Unknown", "confidence": None, "key_points": [], "llm_summary": ""}
-    listing = False
-    for line in (part.strip() for part in raw.splitlines()):
-        name, mark, _ = line.partition(":")
-        value = line.replace(name + mark, "").strip() if mark else ""
-        if mark and name in ("SENTIMENT", "CONFIDENCE", "SUMMARY"):
-            listing = False
-            if name == "SENTIMENT":
-                found["sentiment"] = value
-            elif name == "SUMMARY":
-                found["llm_summary"] = value
-            else:
-                try:
-                    found["confidence"] = float(value)
-                except ValueError:
-                    found["confidence"] = None
-        elif mark and name == "KEY_POINTS":
-            listing = True
-        elif listing and line[:1] == "-":
-            found["key_points"].append(line.lstrip("- ").strip())
-    return found
-
-
 def parsed(apply, raws):
     return [row.asDict() for row in apply(parse_answers, [raws], "array<string>")[0]]
 
 
-def check(apply, raws):
-    for raw, row in zip(raws, parsed(apply, raws)):
-        assert row.pop("raw_response") == raw
-        assert row == read(raw), raw
-
-
 CASES = {
     "": {},
     "  \n\r\n": {},
@@ -69,19 +38,47 @@ def test_named_cases(apply):
         assert row == default | CASES[raw], raw
 
 
-def test_random_answers(apply):
+WORDS = ["good", "a b", "5 stars", "n/a: x", "so-so", "KEY", "1_0", "*"]
+
+
+def made_answer(rng):
+    """An answer built from fields, in any order and with noise, and what it says."""
+    said = {"sentiment": "Unknown", "confidence": None, "key_points": [], "llm_summary": ""}
+    lines = []
+    for _ in range(rng.randint(0, 7)):
+        kind = rng.choice(["sentiment", "confidence", "points", "summary", "noise"])
+        space = rng.choice(["", " ", "\t", "  "])
+        if kind == "sentiment":
+            said["sentiment"] = rng.choice(WORDS)
+            lines.append(f"SENTIMENT:{space}{said['sentiment']}")
+        elif kind == "confidence":
+            shown, said["confidence"] = rng.choice(
+                [("0.75", 0.75), (".5", 0.5), ("1e-1", 0.1), ("7", 7.0), ("1_0", 10.0), ("0.9d", None),
+                 ("92%", None), ("", None)]
+            )
+            lines.append(f"CONFIDENCE:{space}{shown}")
+        elif kind == "summary":
+            said["llm_summary"] = rng.choice([*WORDS, ""])
+            lines.append(f"SUMMARY:{space}{said['llm_summary']}")
+        elif kind == "noise":
+            # Not before a block of points has begun, nor within one.
+            lines += ["- stray"] if not said["key_points"] and not lines else ["sentiment: x", ""]
+        else:
+            points = [rng.choice(WORDS) for _ in range(rng.randint(0, 3))]
+            said["key_points"] += points
+            lines.append("KEY_POINTS:" + rng.choice(["", " - not a point"]))
+            for point in points:
+                lines += [rng.choice(["-", "- ", "--", "- - "]) + point]
+                lines += rng.choice([[], ["* not one"], [""], ["some text"]])
+    ends = ["\n", "\r\n", "\r", "\n\n", "\x0b", "\x85", " \n "]
+    return "".join(line + rng.choice(ends) for line in lines), said
+
+
+def test_answers_made_from_fields(apply):
     rng = random.Random(5)
-    tags = ["SENTIMENT:", "CONFIDENCE:", "KEY_POINTS:", "SUMMARY:", "-", "- ", "--", "*", "", " "]
-    ends = ["\n", "\r\n", "\r", "\n\n", "\x0b", " ", "\x85"]
-    values = ["Positive", " 0.75", "0.9d", "x", "", " - y", "1_0", "SUMMARY: z", " a b"]
-    raws = [
-        "".join(
-            rng.choice(tags) + rng.choice(values) + rng.choice(ends)
-            for _ in range(rng.randint(0, 9))
-        )
-        for _ in range(500)
-    ]
-    check(apply, raws)
+    made = [made_answer(rng) for _ in range(500)]
+    for (raw, said), row in zip(made, parsed(apply, [raw for raw, _ in made])):
+        assert row == said | {"raw_response": raw}, raw
 
 
 def test_table_form(spark):
