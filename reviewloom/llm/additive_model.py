@@ -229,12 +229,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     A null text is scored as the empty one. Repeated rows and null or repeated ids
     are scored row by row; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(_scores(shared.value, texts))],
+                [batch.column("doc_id"), pa.array(_scores(Model(*shared.value), texts))],
                 ["doc_id", "score"],
             )
 
@@ -244,10 +244,10 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of which the text scores ``threshold`` or more, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
-            yield batch.filter(pc.greater_equal(pa.array(_scores(shared.value, texts)), threshold))
+            yield batch.filter(pc.greater_equal(pa.array(_scores(Model(*shared.value), texts)), threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -28,10 +28,18 @@ class Split(NamedTuple):
     parts: list[str]
 
 
-def worker_state() -> dict:
-    """A dictionary that lives as long as the worker process, whatever is unpickled in it."""
+def worker_state(owner: str) -> dict:
+    """A dictionary that a worker process keeps between tasks, whatever is unpickled in it.
+
+    It belongs to one kind of work: what another kind has left is dropped, so that a
+    worker that lives through several stages holds the caches of one.
+    """
     name = "_reviewloom_worker_state"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    state = sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("state", {})
+    if state.get("owner") != owner:
+        state.clear()
+        state["owner"] = owner
+    return state
 
 
 def slices(

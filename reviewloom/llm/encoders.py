@@ -18,6 +18,8 @@ from reviewloom.llm.arrow_text import Ragged, ragged, split_spaces, worker_state
 
 # Parts kept per worker; beyond that, parts are encoded anew.
 CACHED_PARTS = 200_000
+# Longer parts are encoded each time.
+LONGEST_KEPT = 64
 # Below this character all libraries agree on letters, digits and white space.
 PLAIN_BELOW = "ɐ"
 
@@ -139,7 +141,7 @@ class Encoder:
         found = self.kept.get(part)
         if found is None:
             found = self.whole(part)
-            if len(self.kept) < CACHED_PARTS:
+            if len(self.kept) < CACHED_PARTS and len(part) <= LONGEST_KEPT:
                 self.kept[part] = found
         return found
 
@@ -159,7 +161,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a tokenizer file; its cache stays between tasks."""
-    state = worker_state()
+    state = worker_state("tokens")
     key = f"encoder {path}"
     if key not in state:
         state[key] = Encoder(path)

@@ -24,6 +24,8 @@ from reviewloom.llm.encoders import encoder
 from reviewloom.llm.tables import Workspace
 
 PIECE = "doc_id bigint, piece int, start bigint, ids binary"
+# Text that is encoded at a time.
+ENCODED_BYTES = 4 << 20
 # Steps of the fit.
 FIT_STEPS = 200
 # Pieces of one length and salt are numbered in one task; there are more salts for
@@ -43,7 +45,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, limit: int) -> Data
 
     def cut(batches) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, size=ENCODED_BYTES):
             found = encode.encode(texts)
             ids = np.insert(found.values.astype("<u4"), found.starts[1:], end_id)
             starts = found.starts + np.arange(len(found.starts))
@@ -220,23 +222,24 @@ def pack(pieces: DataFrame, limit: int, workspace: Workspace) -> DataFrame:
     histogram = np.zeros(limit + 1, np.int64)
     for row in pieces.groupBy("length").count().collect():
         histogram[row["length"]] = row["count"]
-    places = pieces.sparkSession.sparkContext.broadcast(plan(histogram, limit))
+    # Plain arrays: a class of this package would have to be there to be unpickled.
+    places = pieces.sparkSession.sparkContext.broadcast(tuple(plan(histogram, limit)[:4]))
     # Ranks are drawn by hash and order, and kept, so that no retry deals them anew.
     ranked = workspace.keep(ranks(pieces), "ranked_pieces")
     added = [StructField(name, LongType()) for name in ("sequence_id", "offset")]
     schema = StructType([*ranked.drop("rank").schema.fields, *added])
 
     def place(batches) -> Iterator[pa.RecordBatch]:
-        found = places.value
-        keys = (found.length << 40) + found.first
+        lengths, first, sequences, offsets = places.value
+        keys = (lengths << 40) + first
         for batch in batches:
             rank = batch.column("rank").to_numpy(zero_copy_only=False)
             length = batch.column("length").to_numpy(zero_copy_only=False).astype(np.int64)
             entry = np.searchsorted(keys, (length << 40) + rank, "right") - 1
-            sequence = found.sequence[entry] + rank - found.first[entry]
+            sequence = sequences[entry] + rank - first[entry]
             rest = batch.select([n for n in batch.schema.names if n != "rank"])
             yield pa.RecordBatch.from_arrays(
-                [*rest.columns, pa.array(sequence), pa.array(found.offset[entry])],
+                [*rest.columns, pa.array(sequence), pa.array(offsets[entry])],
                 [*rest.schema.names, "sequence_id", "offset"],
             )
 

@@ -189,7 +189,7 @@ class Pieces(NamedTuple):
 def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values of the bytes, and powers of an odd number and of its inverse, for hashes of
     any part of a text from one running sum."""
-    state = worker_state()
+    state = worker_state("windows")
     if "powers" not in state:
         base = 0xD6E8FEB86659FD93
         inverse = pow(base, -1, 1 << 64)

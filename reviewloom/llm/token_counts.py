@@ -92,14 +92,15 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
     other columns are not read. Special strings inside texts count as the single
     token that the library makes of them.
     """
-    table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path))
+    # A plain tuple: a class of this package would have to be there to be unpickled.
+    table = docs.sparkSession.sparkContext.broadcast(tuple(frequent_lengths(docs, path)))
 
     def count(batches) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
-        state = worker_state()
+        state = worker_state("tokens")
         key = f"lengths {path} {table._jbroadcast.id() if table._jbroadcast else id(table)}"
         if state.get("first tier", ("", None))[0] != key:
-            state["first tier"] = (key, table.value.unfolded())
+            state["first tier"] = (key, LengthTable(*table.value).unfolded())
         first: dict[str, int] = state["first tier"][1]
         second: dict[str, int] = state.setdefault(f"second tier {path}", {})
 

@@ -159,13 +159,13 @@ def judge(measured: DataFrame, posteriors: dict[tuple, float]) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows that the rules keep, with all their columns."""
     model, _ = fit_rules(measure_documents(docs))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             found = [signals(text) for text in texts.to_pylist()]
             votes = np.array([votes_of(s) for s in found], np.int64)
-            good = shared.value.posterior(votes) >= KEEP_FROM
+            good = LabelModel(*shared.value).posterior(votes) >= KEEP_FROM
             yield batch.filter(pa.array(good & ~np.array([failed(s) for s in found])))
 
     return docs.mapInArrow(run, docs.schema)
