@@ -37,11 +37,12 @@ STRIDE = 5
 GRAM = 20
 # Text of a slice, which is cut, sent and answered as a whole; a longer document is a
 # slice of its own, worked on in segments of that size.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 # Windows of a piece at most; a text that repeats itself has one smallest gram for long.
 PIECE_WINDOWS = 64
-# Text of all windows of a bucket (pieces overlap, so that they hold some four times it).
-BUCKET_BYTES = 2 << 20
+# Text of all windows of a bucket. Those that travel are mostly a small part of it; the
+# more a bucket takes, the fewer rows go from each slice to each bucket.
+BUCKET_BYTES = 12 << 20
 # Symbols of a transform at most, but for those of one key: then 16 bits tell them apart.
 TRANSFORM_SYMBOLS = 65_000
 # The sample that finds frequent grams: documents, and the share of them that have one.
