@@ -2,7 +2,6 @@
 
 import collections
 import hashlib
-import itertools
 import re
 import zlib
 
@@ -19,7 +18,6 @@ from reviewloom.llm import (
     block_topk,
     chat_parts,
     lexicon_bpe,
-    order_minhash,
     pattern_packing,
     queries,
     ranked_bytes,
@@ -218,116 +216,6 @@ def test_top_k(spark):
     assert block_topk.top_k(frame.limit(0), 50, 5, Workspace(spark)).count() == 0
 
 
-def lcs(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        before = row
-        row = [0]
-        for j, y in enumerate(b):
-            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
-    return row[-1]
-
-
-def test_alignment():
-    rng = np.random.default_rng(3)
-    for _ in range(60):
-        a = rng.permutation(400)[: rng.integers(1, 300)].astype(np.uint64)
-        b = np.delete(a, rng.integers(0, len(a), rng.integers(0, 30)))
-        b = np.insert(b, rng.integers(0, len(b) + 1, 9), np.uint64(999))
-        wanted = len(a) + len(b) - 2 * lcs(a.tolist(), b.tolist())
-        found = order_minhash.distance(a, b)
-        reach = order_minhash.REACH * order_minhash.link_limit(len(a) + len(b))
-        assert found == (wanted if wanted <= reach else None)
-
-
-def test_counts_never_exceed_the_distance():
-    rng = np.random.default_rng(6)
-    for n in (0, 1, 60, 70, 500, 20_000):
-        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
-        for share in (0, 0.1, 0.5, 1):
-            b = np.append(a[rng.random(n) >= share], rng.integers(0, 1 << 63, 9).astype(np.uint64))
-            least = order_minhash.least_distance(order_minhash.counts(a), order_minhash.counts(b))
-            assert least <= len(np.setxor1d(a, b))
-            if share == 0.5 and n >= 500:
-                assert least > order_minhash.link_limit(len(a) + len(b))
-    many = np.zeros(3000, np.uint64)
-    assert order_minhash.least_distance(order_minhash.counts(many), order_minhash.counts(many[:300])) <= 2700
-
-
-def test_near_duplicates(spark, odd, empty):
-    rng = np.random.default_rng(4)
-    base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
-    rows = [(100 + i, " ".join(base[:i] + ["changed"] + base[i + 1 :])) for i in range(60)]
-    rows += [(200, "one two"), (201, "one  TWO"), (202, "one three"), (300, " ".join(base[:100]))]
-    docs = spark.createDataFrame([(i, t, 0, 0, "") for i, t in [*rows, *ODD]], SCHEMA)
-    found = order_minhash.near_duplicates(docs, Workspace(spark)).collect()
-    classes = collections.Counter((r.doc_id, r.class_id) for r in found)
-    for i in range(60):
-        assert classes[100 + i, 100] == 1
-    assert classes[200, 200] and classes[201, 200] and classes[202, 202] and classes[300, 300]
-    assert classes[7, 7] == 2 and classes[8, 7] and classes[2, 1] and classes[3, 1]
-    assert classes[None, None] == 1 and len(found) == docs.count()
-    kept = order_minhash.deduplicated(docs, Workspace(spark))
-    assert kept.columns == docs.columns
-    left = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in left if i) == sorted({c for _, c in classes if c}) and None in left
-    assert order_minhash.near_duplicates(empty, Workspace(spark)).count() == 0
-
-
-def brute_roots(texts):
-    """Smallest node of its component for each node, of links by the rule."""
-    found = {k: order_minhash.shingles(t, order_minhash._Hashes()).tolist() for k, t in texts.items()}
-    roots = {k: k for k in texts}
-    for a, b in itertools.combinations(sorted(texts), 2):
-        shared = lcs(found[a], found[b])
-        if 5 * shared >= 4 * (len(found[a]) + len(found[b]) - shared):
-            low, high = sorted((roots[a], roots[b]))
-            roots = {k: low if r == high else r for k, r in roots.items()}
-    return roots
-
-
-@pytest.mark.parametrize("size", [order_minhash.FULL_BUCKET, order_minhash.FULL_BUCKET + 1])
-def test_chain_at_the_limit_in_buckets_of_any_size(spark, size):
-    words = [f"w{i}" for i in range(56)]
-    texts = {b"0": words, b"1": words[:54], b"2": words[:44]}
-    texts |= {f"9{i:02}".encode(): [f"x{i}y{j}" for j in range(40)] for i in range(size - 3)}
-    texts = {k: " ".join(t) for k, t in texts.items()}
-    found = {k: order_minhash.shingles(t, order_minhash._Hashes()) for k, t in texts.items()}
-    links = order_minhash.Links(Workspace(spark))
-    rows = [(k, texts[k], len(x), order_minhash.counts(x)) for k, x in found.items()]
-    frame = spark.createDataFrame(rows, "node binary, text string, n bigint, counts binary")
-    links.texts, links.counts = frame.select("node", "text"), frame.select("node", "n", "counts")
-    entries = frame.selectExpr("1l bucket", "node", "n", "node root")
-    roots = {bytes(r.node): bytes(r.root) for r in links.find(links.buckets(entries)).collect()}
-    wanted = brute_roots(texts)
-    assert wanted[b"2"] == b"0" and {k: roots.get(k, k) for k in texts} == wanted
-
-
-def test_all_links_of_short_texts_are_found(spark):
-    rng = np.random.default_rng(8)
-    pairs, texts = [], {}
-    # Pairs of n and n + k shingles, at 0.8 or just above and just below, cut off at the
-    # end or the start; from 10 shingles on also with words changed in place.
-    shapes = [(n, k, cut) for n in range(4, 65) for k in (n // 4, n // 4 + 1) for cut in (0, 1)]
-    shapes += [(n, 0, i) for n in range(14, 65, 2) for i in range(6)]
-    for number, (n, k, cut) in enumerate(shapes):
-        words = [f"p{number}w{i}" for i in range(n + k + 4)]
-        other = words[: n + 4] if cut else words[k:]
-        if not k:
-            other = list(words)
-            other[rng.integers(0, len(words))] = "changed"
-        pair = 2 * number, 2 * number + 1
-        pairs.append(pair)
-        texts |= dict(zip(pair, (" ".join(words), " ".join(other))))
-    docs = spark.createDataFrame([(i, t, 0, 0, "") for i, t in texts.items()], SCHEMA)
-    found = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs, Workspace(spark)).collect()}
-    wanted = {}
-    for a, b in pairs:
-        wanted |= brute_roots({a: texts[a], b: texts[b]})
-    assert found == wanted
-    assert sum(wanted[b] == a for a, b in pairs) > 200
-
-
 def test_base_counts(odd, empty):
     rows = weak_supervision.measure_documents(odd).collect()
 
