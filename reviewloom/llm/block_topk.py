@@ -1,10 +1,13 @@
 """Exact top-k inner products, a block of vectors at a time.
 
 Vectors are ordered by their nearest of a few pivots and then by id; runs of that
-order are blocks, and each block knows the largest and smallest value of every
-component. For a query, blocks are taken in the order of the largest score they
-could hold, and scored from their rows until no block's bound reaches the k-th
-score found. Bounds only save work: no vector that could be among the k is left out.
+order hold blocks, and each run and each block know the largest and smallest value of
+every component. A query first meets only the extremes of the runs, which are a few
+thousandths of the vectors. It is sent to the run of the highest bound, whose scores
+raise its k-th score, and then to those other runs alone whose bounds reach that.
+Within a run, blocks are taken in the order of the largest score they could hold, and
+scored from their rows until no block's bound reaches the k-th score found. Bounds only
+save work: no vector that could be among the k is left out.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.llm.tables import Workspace, hash_sample
@@ -22,18 +25,28 @@ from reviewloom.llm.tables import Workspace, hash_sample
 # Vectors of a block, and of a run of blocks that one task holds at a time.
 BLOCK = 256
 RUN = 8192
-# Queries that meet a run at a time.
+# Queries that meet a run, or a slab of extremes, at a time (expected number).
 QUERIES_AT_ONCE = 1024
+# Runs of which the extremes make up a slab (expected number).
+SLAB = 512
+# Portions of queries that meet the same copy of a run or a slab; a run that more
+# queries go to is copied, so that it is the work of more than one task.
+PORTIONS = 16
 # Vectors of the sample that gives pivots and a first bound for every query's k-th
 # score; the sample bounds what is broadcast, not what is searched.
 SAMPLE = 512
 PIVOTS = 32
 
-RUNS = "run bigint, width int, ids binary, rows binary, highs binary, lows binary"
-GROUPS = "query_group bigint, width int, query_ids binary, floors binary, queries binary"
-HITS = "query_group bigint, place int, query_id bigint, vec_id bigint, score bigint"
-# Below any score; it can be negated.
-NONE = -np.iinfo(np.int64).max
+RUNS = (
+    "run bigint, width int, high array<bigint>, low array<bigint>, "
+    "ids binary, rows binary, highs binary, lows binary"
+)
+ASKED = "query bigint, query_id bigint, reached bigint, vector array<bigint>"
+LIMITS = "query bigint, run bigint, bound bigint"
+HITS = "query bigint, query_id bigint, vec_id bigint, score bigint"
+# Scores lie above NONE, which can be negated, and up to MOST.
+MOST = np.iinfo(np.int64).max
+NONE = -MOST
 
 
 def quantised(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -64,13 +77,20 @@ def widened(rows: np.ndarray, width: int) -> np.ndarray:
 
 
 def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """left @ right.T in whole numbers; by floating point only where that is exact."""
+    """left @ right.T in whole numbers; by floating point only where that is exact.
+
+    Sums that no bigint holds become the least or greatest score.
+    """
     if left.size == 0 or right.size == 0:
         return np.zeros((len(left), len(right)), np.int64)
-    largest = float(np.abs(left).max()) * float(np.abs(right).max()) * left.shape[1]
+    extremes = [max(abs(float(x.max())), abs(float(x.min()))) for x in (left, right)]
+    largest = extremes[0] * extremes[1] * left.shape[1]
     if largest < 2**53:
         return (left.astype(float) @ right.T.astype(float)).astype(np.int64)
-    return left @ right.T
+    if largest < 2**62:
+        return left @ right.T
+    exact = left.astype(object) @ right.T.astype(object)
+    return np.clip(exact, NONE + 1, MOST).astype(np.int64)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +102,8 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 def bounds(queries: np.ndarray, highs: np.ndarray, lows: np.ndarray) -> np.ndarray:
     """The largest score each block could hold for each query: its components' maxima
     summed, by the sign of the query's component."""
-    return products(np.maximum(queries, 0), highs) + products(np.minimum(queries, 0), lows)
+    signed = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1)
+    return products(signed, np.concatenate([highs, lows], axis=1))
 
 
 def search_run(
@@ -138,16 +159,18 @@ def build_runs(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
                 part = batch.slice(first, RUN)
                 rows = matrix(part.column("vector"))
                 starts = np.arange(0, len(rows), BLOCK)
+                highs, lows = (x.reduceat(rows, starts) for x in (np.maximum, np.minimum))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([number]),
                         pa.array([rows.shape[1]], pa.int32()),
-                        pa.array([part.column("vec_id").to_numpy().tobytes()]),
-                        pa.array([rows.tobytes()]),
-                        pa.array([np.maximum.reduceat(rows, starts).tobytes()]),
-                        pa.array([np.minimum.reduceat(rows, starts).tobytes()]),
+                        *[pa.array([x.tolist()], pa.list_(pa.int64())) for x in (highs.max(0), lows.min(0))],
+                        *[
+                            pa.array([x.tobytes()])
+                            for x in (part.column("vec_id").to_numpy(), rows, highs, lows)
+                        ],
                     ],
-                    [field.split()[0] for field in RUNS.split(", ")],
+                    _names(RUNS),
                 )
                 number += 1
 
@@ -156,70 +179,160 @@ def build_runs(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return ordered.select("vec_id", "vector").mapInArrow(cut, RUNS)
 
 
-def build_groups(
-    queries: DataFrame, count: int, sample_ids: np.ndarray, sample: np.ndarray, k: int
+def first_scores(
+    asked: DataFrame, sample_ids: np.ndarray, sample: np.ndarray, k: int
 ) -> DataFrame:
-    """Rows of GROUPS: queries with a score that their k-th best reaches at least, which
+    """Rows of ASKED: queries with a score that their k-th best reaches at least, which
     is the k-th best among the sample."""
-    shared = queries.sparkSession.sparkContext.broadcast((sample_ids, sample))
+    shared = asked.sparkSession.sparkContext.broadcast((sample_ids, sample))
 
-    def group(batches) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+    def reach(batches) -> Iterator[pa.RecordBatch]:
         names, drawn = shared.value
-        for batch in batches:
-            for first in range(0, len(batch), QUERIES_AT_ONCE):
-                part = batch.slice(first, QUERIES_AT_ONCE)
-                rows, ids = matrix(part.column("vector")), part.column("vec_id").to_numpy()
+        for whole in batches:
+            for first in range(0, len(whole), QUERIES_AT_ONCE):
+                batch = whole.slice(first, QUERIES_AT_ONCE)
+                rows, ids = matrix(batch.column("vector")), batch.column("query_id").to_numpy()
                 width = max(rows.shape[1], drawn.shape[1])
                 scored = products(widened(rows, width), widened(drawn, width))
                 scored[ids[:, None] == names] = NONE
-                floors = np.full(len(ids), NONE)
+                reached = np.full(len(ids), NONE)
                 if scored.shape[1] >= k:
-                    floors = np.partition(scored, -k, axis=1)[:, -k]
+                    reached = np.partition(scored, -k, axis=1)[:, -k]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("query"), batch.column("query_id"), pa.array(reached),
+                     batch.column("vector")],
+                    _names(ASKED),
+                )
+
+    return asked.mapInArrow(reach, ASKED)
+
+
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
+
+def _portion(key: str, count: Column) -> Column:
+    """A number below ``count`` by the key's hash."""
+    return F.pmod(F.xxhash64(key), count)
+
+
+def _numbers(last: Column) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))
+
+
+def _limits(best_only: bool):
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                asked, extremes = batch.column("asked")[i].values, batch.column("extremes")[i].values
+                parts = [
+                    matrix(x)
+                    for x in (asked.field("vector"), extremes.field("high"), extremes.field("low"))
+                ]
+                width = max(x.shape[1] for x in parts)
+                limit = bounds(*(widened(x, width) for x in parts))
+                names = extremes.field("run").to_numpy()
+                if best_only:
+                    place = np.arange(len(limit))
+                    held = limit.argmax(axis=1)
+                else:
+                    # A run whose bound equals the k-th score may hold a smaller id.
+                    reaches = limit >= asked.field("reached").to_numpy()[:, None]
+                    reaches &= asked.field("searched").to_numpy()[:, None] != names
+                    place, held = np.nonzero(reaches)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([number]),
-                        pa.array([rows.shape[1]], pa.int32()),
-                        *[pa.array([x.tobytes()]) for x in (ids, floors, rows)],
+                        pa.array(asked.field("query").to_numpy()[place]),
+                        pa.array(names[held]),
+                        pa.array(limit[place, held]),
                     ],
-                    [field.split()[0] for field in GROUPS.split(", ")],
+                    _names(LIMITS),
                 )
-                number += 1
 
-    return queries.repartition(-(-count // QUERIES_AT_ONCE) or 1).mapInArrow(group, GROUPS)
+    return run
+
+
+def build_slabs(runs: DataFrame, count: int) -> DataFrame:
+    """Rows of slab (from 0, below ``count``) and the extremes of its runs."""
+    slab = _portion("run", F.lit(count)).alias("slab")
+    return runs.groupBy(slab).agg(F.collect_list(F.struct("run", "high", "low")).alias("extremes"))
+
+
+def reaching(asked: DataFrame, queries: int, slabs: DataFrame, count: int, best_only: bool) -> DataFrame:
+    """Rows of LIMITS: each query's run of the highest bound in each slab, or all runs
+    whose bounds reach the query's k-th score but the one it has ``searched``.
+
+    Queries and extremes meet by the slab and a salt, so that no key is a third of the
+    work; only the extremes are copied, once for PORTIONS portions of the queries.
+    """
+    portions = -(-queries // QUERIES_AT_ONCE) or 1
+    salts = -(-portions // PORTIONS)
+    groups = asked.groupBy(_portion("query", F.lit(portions)).alias("portion")).agg(
+        F.collect_list(F.struct(*asked.columns)).alias("asked")
+    )
+    groups = groups.select(
+        (F.col("portion") % salts).alias("salt"),
+        "asked",
+        F.explode(_numbers(F.lit(count - 1))).alias("slab"),
+    )
+    copies = slabs.withColumn("salt", F.explode(_numbers(F.lit(salts - 1))))
+    met = groups.join(copies, ["slab", "salt"])
+    return met.select("asked", "extremes").mapInArrow(_limits(best_only), LIMITS)
 
 
 def _search(k: int):
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in (r for i in range(len(batch)) for r in batch.slice(i, 1).to_pylist()):
-                ids, rows, highs, lows, query_ids, floors, queries = (
-                    np.frombuffer(row[x], np.int64)
-                    for x in ("ids", "rows", "highs", "lows", "query_ids", "floors", "queries")
+            for i in range(len(batch)):
+                asked, width = batch.column("asked")[i].values, batch.column("width")[i].as_py()
+                ids, rows, highs, lows = (
+                    np.frombuffer(batch.column(x)[i].as_buffer(), np.int64)
+                    for x in ("ids", "rows", "highs", "lows")
                 )
-                narrow, wide = row["width"], row["query_width"]
-                width = max(narrow, wide)
+                queries = matrix(asked.field("vector"))
+                wide = max(width, queries.shape[1])
+                blocks = -(-len(ids) // BLOCK)
                 stored = [
-                    widened(x.reshape(n, narrow), width)
-                    for x, n in ((rows, len(ids)), *[(y, -(-len(ids) // BLOCK)) for y in (highs, lows)])
+                    widened(x.reshape(n, width), wide)
+                    for x, n in ((rows, len(ids)), (highs, blocks), (lows, blocks))
                 ]
-                asked = widened(queries.reshape(len(query_ids), wide), width)
-                scores, found = search_run(query_ids, floors, asked, ids, *stored, k)
+                names = asked.field("query_id").to_numpy()
+                reached = asked.field("reached").to_numpy()
+                scores, found = search_run(names, reached, widened(queries, wide), ids, *stored, k)
                 place, rank = np.nonzero(scores != NONE)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(place), row["query_group"])),
-                        pa.array(place.astype(np.int32)),
-                        pa.array(query_ids[place]),
+                        pa.array(asked.field("query").to_numpy()[place]),
+                        pa.array(names[place]),
                         pa.array(found[place, rank]),
                         pa.array(scores[place, rank]),
                     ],
-                    [field.split()[0] for field in HITS.split(", ")],
+                    _names(HITS),
                 )
 
     return run
 
 
+def search(pairs: DataFrame, asked: DataFrame, runs: DataFrame, k: int) -> DataFrame:
+    """Rows of HITS: the k best of the run for each pair of query and run.
+
+    Queries of a run go to it in portions; a run with many portions is copied, one
+    without any is not moved.
+    """
+    portions = (F.count("*") / QUERIES_AT_ONCE + 1).cast("bigint")
+    counts = pairs.groupBy("run").agg(portions.alias("portions"))
+    portion = _portion("query", F.col("portions")).alias("portion")
+    placed = pairs.join(counts, "run").select("query", "run", portion)
+    groups = placed.join(asked, "query").groupBy("run", "portion").agg(
+        F.collect_list(F.struct("query", "query_id", "reached", "vector")).alias("asked")
+    )
+    groups = groups.withColumn("salt", (F.col("portion") / PORTIONS).cast("bigint"))
+    last = (F.col("portions") - 1) / PORTIONS
+    copies = counts.select("run", F.explode(_numbers(last)).alias("salt"))
+    met = runs.join(copies, "run").join(groups, ["run", "salt"])
+    return met.select("asked", "width", "ids", "rows", "highs", "lows").mapInArrow(_search(k), HITS)
+
+
 def top_k(
     vectors: DataFrame, every: int, k: int, workspace: Workspace, scale: int = 256,
     vec_id: str = "vec_id", vector: str = "embedding",
@@ -230,7 +343,8 @@ def top_k(
     Ties go to the smaller id. All are returned where there are fewer than k. Shorter
     vectors count as ending in zeros. A repeated row is a candidate each time, and a
     repeated query has a list each time; rows with a null id take no part, nor do
-    vectors of which ``quantised`` tells so. Other columns are not read.
+    vectors of which ``quantised`` tells so. Components beyond a bigint, and scores
+    beyond it, are its ends. Other columns are not read.
     """
     usable = workspace.keep(quantised(vectors, vec_id, vector, scale), "quantised")
     drawn = hash_sample(usable, SAMPLE, "vec_id").orderBy("vec_id").limit(2 * SAMPLE).collect()
@@ -241,14 +355,29 @@ def top_k(
     # Ids repeat at most as rows do; a query's own row must not count in its bound.
     ids = np.array([row.vec_id for row in drawn], np.int64)
     runs = workspace.keep(build_runs(usable, sample[:PIVOTS]), "runs")
-    asked = usable.where(F.col("vec_id") % every == 0)
-    groups = workspace.keep(build_groups(asked, asked.count(), ids, sample, k), "groups")
-    # Each run meets each group of queries. Groups are much smaller than runs, so they
-    # travel; runs move once. The driver has one number per RUN vectors.
-    names = [row.run for row in runs.select("run").collect()]
-    meeting = groups.withColumnRenamed("width", "query_width")
-    meeting = meeting.withColumn("run", F.explode(F.lit(names).cast("array<bigint>")))
-    hits = runs.join(meeting, "run").mapInArrow(_search(k), HITS)
-    order = Window.partitionBy("query_group", "place").orderBy(F.desc("score"), "vec_id")
+    rows = usable.where(F.col("vec_id") % every == 0).select(
+        F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"), "vector"
+    )
+    # Stored, so that a query keeps its number.
+    asked = workspace.keep(first_scores(rows, ids, sample, k), "asked")
+    count = -(-runs.count() // SLAB) or 1
+    slabs = workspace.keep(build_slabs(runs, count), "slabs")
+    queries = asked.count()
+    highest = reaching(asked, queries, slabs, count, best_only=True)
+    highest = highest.groupBy("query").agg(F.max(F.struct("bound", "run")).alias("highest"))
+    first = workspace.keep(highest.select("query", F.col("highest.run").alias("run")), "first")
+    hits = workspace.keep(search(first, asked, runs, k), "first_hits")
+    kth = hits.groupBy("query").agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
+    raised = asked.join(first.withColumnRenamed("run", "searched"), "query").join(kth, "query", "left")
+    raised = workspace.keep(
+        raised.select(
+            "query", "query_id", F.greatest("reached", "kth").alias("reached"), "vector", "searched"
+        ),
+        "raised",
+    )
+    others = reaching(raised, queries, slabs, count, best_only=False).select("query", "run")
+    others = workspace.keep(others, "others")
+    hits = hits.union(search(others, raised.drop("searched"), runs, k))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

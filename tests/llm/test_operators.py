@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -216,6 +217,40 @@ def test_top_k(spark):
     assert block_topk.top_k(frame.limit(0), 50, 5, Workspace(spark)).count() == 0
 
 
+def test_top_k_in_many_runs(spark, monkeypatch):
+    for name, value in {"RUN": 32, "BLOCK": 8, "QUERIES_AT_ONCE": 4, "SLAB": 3, "PORTIONS": 1, "SAMPLE": 40}.items():
+        monkeypatch.setattr(block_topk, name, value)
+    rng = np.random.default_rng(2)
+    centres = 20 * rng.normal(size=(12, 6))
+    rows = [(i, (centres[i % 12] + rng.normal(size=6)).round(2).tolist()) for i in range(900)]
+    # Rows that repeat, a vector that many share, and ties of ids.
+    rows += [rows[50], rows[50], *[(1000 + i, rows[7][1]) for i in range(300)]]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    frame = frame.withColumn("query", F.lit("x")).withColumn("run", F.lit(0)).repartition(8)
+    workspace = Workspace(spark)
+    found = block_topk.top_k(frame, 50, 5, workspace).collect()
+    whole = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in rows]
+    wanted = []
+    for q, asked in whole:
+        if q % 50 == 0:
+            best = sorted((-int(v @ asked), i) for i, v in whole if i != q)[:5]
+            wanted += [(q, k, i, -n) for k, (n, i) in enumerate(best, 1)]
+    assert same(found, wanted)
+    runs = spark.read.parquet(workspace.path("runs")).count()
+    asked = spark.read.parquet(workspace.path("asked")).count()
+    sent = spark.read.parquet(workspace.path("others")).count() + asked
+    assert runs > 30 and sent < asked * runs / 4
+
+
+def test_top_k_beyond_a_bigint(spark):
+    rows = [(0, [1e300, 1.0]), (1, [1e300, 1.0]), (2, [-1e300, 0.0]), (3, [2.0, 2.0]), (4, [1e9, -1e9])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    most, found = (1 << 63) - 1, block_topk.top_k(frame, 50, 5, Workspace(spark)).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(found, key=lambda r: r.rank)] == [
+        (1, 1, most), (2, 3, most), (3, 4, most), (4, 2, -most + 1),
+    ]
+
+
 def test_base_counts(odd, empty):
     rows = weak_supervision.measure_documents(odd).collect()
 
