@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from html.parser import HTMLParser
 
@@ -22,21 +21,6 @@ TABLE_PARTS = frozenset(("table", "thead", "tbody", "tfoot", "tr", "td", "th"))
 CELL_BOUNDARY = frozenset(("table", "td", "th"))
 
 
-# What a page must hold, letter for letter, to have a field at all; unless it
-# writes its class or id with character references.
-MARKS = {
-    "title": re.compile("<h1", re.IGNORECASE),
-    "star": re.compile("star-rating"),
-    "price": re.compile("price_color"),
-    "availability": re.compile("instock"),
-    "description": re.compile("product_description"),
-    "specs": re.compile("table-striped"),
-}
-ENCODED_NAME = re.compile(
-    r"""(?:class|id)\s*=\s*(?:"[^"&]*&|'[^'&]*&|[^\s"'>&]*&)""", re.IGNORECASE
-)
-
-
 class _Settled(Exception):
     """All wanted fields are known; the rest of the page need not be read."""
 
@@ -191,36 +175,22 @@ class _PageReader(HTMLParser):
 
     def fields(self) -> dict:
         found = {name: text.stripped() for name, text in self.texts.items()}
-        specs = {}
-        for row in self.rows:
-            if "th" in row and "td" in row:
-                key = row["th"].stripped().lower().replace(" ", "_")
-                specs[key] = row["td"].stripped()
         found["star"] = self.star
-        found["specs"] = list(specs.items())
+        found["specs"] = [
+            (row["th"].stripped(), row["td"].stripped())
+            for row in self.rows
+            if "th" in row and "td" in row
+        ]
         return {name: found[name] for name in self.wanted if name in found}
 
 
-def possible_fields(html: str, wanted=FIELDS) -> list[str]:
-    if ENCODED_NAME.search(html):
-        return list(wanted)
-    return [name for name in wanted if MARKS[name].search(html)]
-
-
 def read_page(html: str, wanted=FIELDS) -> dict:
-    """The wanted fields; what a page lacks is None, its spec rows are pairs.
-
-    Only fields the page can have are waited for: a page without product marks
-    is left after its title, and one without a heading is not parsed.
-    """
-    none = dict.fromkeys(FIELDS) | {"specs": []}
-    possible = possible_fields(html, wanted)
-    if not possible:
-        return none
-    reader = _PageReader(possible)
+    """The wanted fields; what a page lacks is None, the rows of its specification
+    table are pairs of texts, in order. Reading stops once all wanted fields are known."""
+    reader = _PageReader(wanted)
     try:
         reader.feed(html)
         reader.close()
     except _Settled:
         pass
-    return none | reader.fields()
+    return dict.fromkeys(FIELDS) | {"specs": []} | reader.fields()

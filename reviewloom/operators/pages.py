@@ -18,8 +18,38 @@ NO_TITLE = "Unknown"
 MISSING = "N/A"
 
 
+# What a page must hold, letter for letter, to have a field at all; unless it
+# writes its class or id with character references.
+MARKS = {
+    "title": "(?i)<h1",
+    "star": "star-rating",
+    "price": "price_color",
+    "availability": "instock",
+    "description": "product_description",
+    "specs": "table-striped",
+}
+# White space as Python's patterns and the reader know it.
+SPACE = r"\s\x1c-\x1f"
+ENCODED_NAME = (
+    rf"""(?iU)(?:class|id)[{SPACE}]*=[{SPACE}]*(?:"[^"&]*&|'[^'&]*&|[^{SPACE}"'>&]*&)"""
+)
+
+
+def possible_fields(html: Column, wanted=FIELDS) -> Column:
+    """Names of the wanted fields that a page can have, by what stands in its text."""
+    marked = [F.when(html.rlike(MARKS[name]), F.lit(name)) for name in wanted]
+    return F.when(html.rlike(ENCODED_NAME), F.array(*[F.lit(name) for name in wanted])).otherwise(
+        F.array_compact(F.array(*marked))
+    )
+
+
 def page_fields(html: Column, wanted=FIELDS) -> Column:
-    """Struct with the wanted page fields; reading stops once all are known."""
+    """Struct with the wanted page fields; null for a page that can have none of them.
+
+    Only pages that can have a field travel to Python, and only what they can have is
+    waited for: a page without product marks is left after its title.
+    """
+    pair = pa.struct([("name", pa.string()), ("value", pa.string())])
     fields_type = pa.struct(
         [
             ("title", pa.string()),
@@ -27,16 +57,47 @@ def page_fields(html: Column, wanted=FIELDS) -> Column:
             ("price", pa.string()),
             ("availability", pa.string()),
             ("description", pa.string()),
-            ("specs", pa.map_(pa.string(), pa.string())),
+            ("specs", pa.list_(pair)),
         ]
     )
-    names = tuple(wanted)
 
     @F.arrow_udf(PAGE_FIELDS)
-    def read(pages: pa.Array) -> pa.Array:
-        return pa.array([read_page(page.as_py() or "", names) for page in pages], fields_type)
+    def read(pages: pa.Array, possible: pa.Array) -> pa.Array:
+        found = []
+        for page, names in zip(pages, possible):
+            fields = read_page(page.as_py(), names.as_py()) if page.is_valid else None
+            if fields:
+                fields["specs"] = [{"name": name, "value": value} for name, value in fields["specs"]]
+            found.append(fields)
+        return pa.array(found, fields_type)
+
+    possible = possible_fields(html, wanted)
+    return read(F.when(F.size(possible) > 0, html), possible)
+
+
+def spec_map(rows: Column) -> Column:
+    """Map of the rows of a specification table by normalised name; of rows of one name
+    the last counts."""
+    named = F.transform(
+        F.coalesce(rows, F.array()),
+        lambda row, i: F.struct(
+            F.replace(F.lower(row["name"]), F.lit(" "), F.lit("_")).alias("key"),
+            (-i).alias("back"),
+            row["value"].alias("value"),
+        ),
+    )
 
-    return read(html)
+    def last_ones(ordered: Column) -> Column:
+        return F.filter(
+            ordered, lambda x, i: (i == 0) | (F.get(ordered, i - 1)["key"] != x["key"])
+        )
+
+    # Bound as the one element of an array, so that rows are sorted once, not for each.
+    kept = F.transform(F.array(F.sort_array(named)), last_ones)[0]
+    in_order = F.sort_array(
+        F.transform(kept, lambda x: F.struct((-x["back"]).alias("at"), x["key"], x["value"]))
+    )
+    return F.map_from_entries(F.transform(in_order, lambda x: F.struct(x["key"], x["value"])))
 
 
 def page_titles(pages: DataFrame) -> DataFrame:
@@ -61,8 +122,9 @@ def product_metadata(pages: DataFrame, scraped_at: datetime | None = None) -> Da
     the page's own address and the time of the run cannot be replaced.
     """
     read = pages.select("url", page_fields(F.col("html")).alias("page"))
+    read = read.withColumn("specs", spec_map(F.col("page.specs")))
     spec = {
-        name: F.try_element_at(F.col("page.specs"), F.lit(name))
+        name: F.try_element_at(F.col("specs"), F.lit(name))
         for name in ("product_title", "overall_rating", "price", "availability", "description")
     }
 
@@ -75,7 +137,7 @@ def product_metadata(pages: DataFrame, scraped_at: datetime | None = None) -> Da
         field("price", "page.price", MISSING),
         field("availability", "page.availability", MISSING),
         field("description", "page.description", MISSING),
-        F.col("page.specs").alias("specs"),
+        "specs",
         F.col("url").alias("scraped_url"),
         moment(scraped_at).alias("scraped_at"),
     )

@@ -7,10 +7,10 @@ ANSWER = "struct<raw_response:string,attempts:int,error_class:string,waited:doub
 RESPONSE_FIELDS = "raw_response string, attempts int, error_class string, waited double"
 
 # Fields read from one product page; specs holds whatever rows the page's
-# specification table has.
+# specification table has, as they stand there.
 PAGE_FIELDS = (
     "struct<title:string,star:string,price:string,availability:string,"
-    "description:string,specs:map<string,string>>"
+    "description:string,specs:array<struct<name:string,value:string>>>"
 )
 
 # Columns of the flat export, in file order.

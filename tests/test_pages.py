@@ -1,10 +1,18 @@
+import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from reviewloom.operators.generate import TEMPLATES, generate_reviews
-from reviewloom.operators.page_parser import read_page
-from reviewloom.operators.pages import page_titles, product_metadata
+from reviewloom.operators.page_parser import FIELDS, read_page
+from reviewloom.operators.pages import (
+    page_fields,
+    page_titles,
+    possible_fields,
+    product_metadata,
+    spec_map,
+)
 from reviewloom.sources.tables import fetched
 
 WHEN = datetime(2024, 5, 20, 14, 32, 1)
@@ -42,9 +50,10 @@ def test_whole_page():
         "availability": "In stock (22 available)",
         "description": "It's hard to imagine.\nSecond line",
         "specs": [
-            ("upc", "later"),
-            ("price_(excl._tax)", "\u00A351.77"),
-            ("availability", "In stock (22)"),
+            ("UPC", "a897"),
+            ("Price (excl. tax)", "\u00A351.77"),
+            ("Availability", "In stock (22)"),
+            ("UPC", "later"),
         ],
     }
 
@@ -70,12 +79,13 @@ def test_whole_page():
         ("<div id=product_description></div><div><p>in</p></div><p>d</p>", "description", "d"),
         ("<div id=product_description></div>", "description", None),
         ("<table class='x table-striped'><tr><th>A b<td>1<tr><th>C<td>2</table>", "specs",
-         [("a_b", "1"), ("c", "2")]),
+         [("A b", "1"), ("C", "2")]),
         ("<table class=x><tr><th>A<td>1</table>", "specs", []),
         ("<table class=table-striped><tbody><tr><td>1</td><th>K</th></tr></tbody></table>",
-         "specs", [("k", "1")]),
+         "specs", [("K", "1")]),
         ("<table class=table-striped><tr><th>A</th><th>B</th><td>1</td><td>2</td></tr></table>",
-         "specs", [("a", "1")]),
+         "specs",
+         [("A", "1")]),
         ("", "title", None),
         ("<H1 id=x>big</H1>", "title", "big"),
         ("<p class='star&#45;rating Two'>", "star", "Two"),
@@ -91,6 +101,30 @@ def test_single_fields(html, field, value):
     assert read_page(html, (field,))[field] == value
 
 
+def test_only_pages_that_can_have_a_field_are_read(spark):
+    htmls = [
+        None, "", "<p>h1 star rating</p>", "<H1>x", "<p class='star&#45;rating Two'>",
+        "<p\u2003ID\x1c=\u2003 price&#95;color>", "<a href='x?a&b' class=c>", PAGE,
+    ]
+    rows = page_rows(spark, *htmls).select("url", possible_fields(F.col("html")).alias("names"))
+    names = [row.names for row in rows.orderBy("url").collect()]
+    every = list(FIELDS)
+    assert names == [[], [], [], ["title"], every, every, [], every]
+    read = page_rows(spark, *htmls).select("url", page_fields(F.col("html")).alias("page"))
+    assert [row.page is None for row in read.orderBy("url").collect()] == [not x for x in names]
+
+
+def test_spec_names(apply):
+    """Against a dictionary: the last row of a name wins."""
+    rng = random.Random(3)
+    names = ["", "UPC", "upc", "Price (excl. tax)", "price_(EXCL. TAX)", "\u00C9T\u00C9", "\u039F\u03A3 x"]
+    tables = [[(rng.choice(names), str(i)) for i in range(rng.randint(0, 9))] for _ in range(50)]
+    tables += [[(f"N {i % 20000}", str(i)) for i in range(40000)], None]
+    found = apply(spec_map, tables, "array<struct<name:string,value:string>>")
+    for rows, specs in zip(tables, found):
+        assert specs == {name.lower().replace(" ", "_"): value for name, value in rows or []}
+
+
 def page_rows(spark, *htmls):
     return spark.createDataFrame(
         [(f"http://x/{i}", html) for i, html in enumerate(htmls)], "url string, html string"
