@@ -173,6 +173,39 @@ def test_splitters(spark, empty):
     assert splitters.shard_documents(empty, 8, Workspace(spark)).count() == 0
 
 
+def test_shards_are_ranges(spark, monkeypatch):
+    """Sizes are level and only a hot text is divided, one row repeated without end, too."""
+    monkeypatch.setattr(splitters, "ROWS_AT_ONCE", 100)
+    rows = [(i, LONG[: 40 + i * 7919 % 900] + str(i % 700), 5, 5, "") for i in range(2000)]
+    rows += [(7, "one row " * 40, 5, 5, "")] * 1500 + [(9, LONG[:50_000], 5, 5, "")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5).withColumn("file", F.lit("x"))
+    found = splitters.shard_documents(docs, 8, Workspace(spark)).collect()
+    totals, held, slots = collections.Counter(), collections.defaultdict(set), collections.Counter()
+    for r in found:
+        totals[r.shard] += r["size"]
+        held[r.text_crc32].add(r.shard)
+        slots[r.shard, r.slot] += 1
+    assert len(found) == len(rows) == len(slots)
+    assert max(s for _, s in slots) + 1 == max(collections.Counter(s for s, _ in slots).values())
+    assert max(totals.values()) < 1.02 * min(totals.values())
+    assert len(totals) == 8
+    # Only the row that is a third of all is divided; others of its text's size are not.
+    assert [key for key, shards in held.items() if len(shards) > 1] == [
+        zlib.crc32(("one row " * 40).encode())
+    ]
+
+
+def test_splitter_arithmetic():
+    assert splitters.weighted_quantiles([(i, 1.0) for i in range(8)], 4) == [1, 3, 5, 7]
+    assert splitters.weighted_quantiles([(5, 9.0), (1, 1.0)], 2) == [4, 5]
+    # Shards of 80, of which 70 are the body.
+    sizes = [(0, 10), (1, 60), (2, 11), (5, 65), (6, 4), (9, 10)]
+    assert splitters.bodies(sizes, 2) == {0: 0, 1: 0, 5: 1, 6: 1}
+    assert splitters.places(sizes, 2) == [(0, 0), (1, 0), (2, 1), (5, 1), (6, 1), (9, 0)]
+    assert splitters.places([(7, 100)], 4) == [(7, 0)]
+    assert splitters.places([], 4) == []
+
+
 def test_chat_parts(spark):
     def part(kind, text=None, reference=None, tokens=None):
         return (kind, text, reference, tokens)
