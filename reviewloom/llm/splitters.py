@@ -149,10 +149,12 @@ def shard_by_bytes(rows: DataFrame, shards: int, key: str, size: str, tie: list[
     }
     # A unit is a range or, of an overfull one, a part by the second key.
     most = max(parts.values(), default=1)
+    # The range is a column of its own, so that it is found once for each row.
+    ranged, held = rows.withColumn("_range", unit.cast("bigint")), F.col("_range")
     part = F.lit(0).cast("bigint")
     for end, pieces in sorted(parts.items()):
-        part = F.when(unit == end, F.pmod(F.xxhash64(*tie), F.lit(pieces))).otherwise(part)
-    measured = rows.withColumn("_unit", unit * F.lit(most).cast("bigint") + part)
+        part = F.when(held == end, F.pmod(F.xxhash64(*tie), F.lit(pieces))).otherwise(part)
+    measured = ranged.withColumn("_unit", held * F.lit(most) + part).drop("_range")
     placed = places(sums(measured, F.col("_unit")), shards)
     # The last unit of every stretch that shares a shard.
     lasts = [(u, s) for (u, s), after in zip(placed, [*placed[1:], (0, -1)]) if s != after[1]]
