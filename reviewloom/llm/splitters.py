@@ -14,6 +14,7 @@ the number of rows.
 from __future__ import annotations
 
 import heapq
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,8 +34,6 @@ OVERFULL = 8
 PIECE = 64
 # Rows that are numbered in one task (expected number).
 ROWS_AT_ONCE = 1 << 19
-# Boundaries compared with a key at once; a key is found in two such steps.
-FIRST_STEP = 64
 LOWEST = -(1 << 63)
 
 
@@ -58,11 +57,13 @@ def range_of(key: Column, boundaries: list[int]) -> Column:
     one within the group."""
     if not boundaries:
         return F.lit(0)
-    groups = [boundaries[i : i + FIRST_STEP] for i in range(0, len(boundaries), FIRST_STEP)]
+    # Groups as large as their number, so that least is compared with each key.
+    step = math.isqrt(len(boundaries) - 1) + 1
+    groups = [boundaries[i : i + step] for i in range(0, len(boundaries), step)]
     firsts = F.lit([group[0] for group in groups])
     group = F.greatest(F.size(F.filter(firsts, lambda x: x < key)) - 1, F.lit(0))
     members = F.get(F.lit(groups), group)
-    return group * FIRST_STEP + F.size(F.filter(members, lambda x: x < key))
+    return group * step + F.size(F.filter(members, lambda x: x < key))
 
 
 def bodies(sizes: list[tuple[int, int]], shards: int) -> dict[int, int]:
