@@ -97,6 +97,37 @@ def test_token_counts(odd, empty, library):
     assert token_counts.count_tokens(empty, queries.BYTE_BPE).count() == 0
 
 
+@pytest.mark.parametrize("path", [queries.BYTE_BPE, queries.WORD_BPE])
+def test_token_counts_of_all_plain_characters(spark, library, path):
+    rng = np.random.default_rng(4)
+    letters = [chr(c) for c in [*range(592), 0x3A9, 0x65E5, 0x1F642]]
+    texts = ["".join(rng.choice(letters, rng.integers(1, 40))) for _ in range(600)]
+    # Mostly letters, marks and spaces, so that many parts are counted by their pre-tokens.
+    usual = [*"aábcst ' 0129.,!", " ", " ", "'s", "'ll", "\n", "\xa0", "\0"]
+    texts += ["".join(rng.choice(usual, rng.integers(1, 60))) for _ in range(900)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = token_counts.count_tokens(docs.union(docs), path).collect()
+    assert same(
+        [(r.doc_id, r.n_tokens) for r in rows],
+        2 * [(i, len(ids(library[path], x))) for i, x in enumerate(texts)],
+    )
+
+
+def test_length_table():
+    kept = [f"w{i * 7919 % 65_536:x}"[:16] for i in range(65_536)]
+    sizes = np.arange(len(kept)) % 200 + 1
+    table = token_counts.length_table([*kept, "seventeen letters", "zero\0"], [*sizes, 3, 4])
+    assert np.count_nonzero(table.lengths) == len(kept)
+    keys, whole = token_counts.slot_keys([*kept, "absent", "", "seventeen letters", "zero\0"])
+    assert whole.tolist() == [True] * (len(kept) + 2) + [False] * 2
+    assert (table.find(keys)[: len(kept)] == sizes).all()
+    assert (table.find(keys[[len(kept), len(kept) + 1]]) == 0).all()
+    # What the broadcast holds does not follow the data.
+    assert sum(x.nbytes for x in table) == 17 << token_counts.TABLE_BITS
+    none = token_counts.length_table([], np.zeros(0, np.uint8))
+    assert none.find(keys).sum() == 0 and none.find(keys[:0]).shape == (0,)
+
+
 def test_ranked_bytes(spark, odd, empty, library):
     t = library[queries.BYTE_BPE]
     path = Workspace(spark).path("ids")
