@@ -9,7 +9,7 @@ formatted conversation back needs nothing but the brackets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PARTS = "array<struct<kind:string,text:string,reference:string,tokens:bigint>>"
@@ -82,19 +82,14 @@ def attachments(parts: Column) -> Column:
     )
 
 
-def _turn(role: Column, body: Column) -> Column:
-    """A marked turn and where its body starts in it."""
-    named = F.concat(F.lit(NAMED), escape(role), F.lit(NAMED_END))
-    opened, closed = named, F.lit(NAMED_CLOSE)
+def _marks(role: Column) -> tuple[Column, Column]:
+    """What stands before and behind the body of a turn."""
+    opened = F.concat(F.lit(NAMED), escape(role), F.lit(NAMED_END))
+    closed = F.lit(NAMED_CLOSE)
     for known in OPEN:
         opened = F.when(role == known, F.lit(OPEN[known])).otherwise(opened)
         closed = F.when(role == known, F.lit(CLOSE[known])).otherwise(closed)
-    return F.struct(
-        F.concat(opened, body, closed).alias("marked"),
-        F.char_length(opened).cast("bigint").alias("head"),
-        F.char_length(body).cast("bigint").alias("body"),
-        (role == "assistant").alias("answer"),
-    )
+    return opened, closed
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
@@ -110,50 +105,49 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     parts = F.coalesce(F.col("content"), F.array().cast(PARTS))
     visited = turns.select(
         "conv_id",
-        F.struct(
-            "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"), visit(parts).alias("body")
-        ).alias("key"),
+        "turn",
+        F.coalesce(F.col("role"), F.lit("")).alias("role"),
+        visit(parts).alias("body"),
         attachments(parts).alias("attached"),
     )
-    gathered = visited.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("key", "attached"))).alias("turns")
+    opened, closed = _marks(F.col("role"))
+    marked = visited.withColumn("head", F.char_length(opened)).withColumn(
+        "marked", F.concat(opened, "body", closed)
     )
-    marked = gathered.select(
+    # Where each turn starts: the running length of those before it, over sorted rows that
+    # can spill. No turn is empty, so that these places are an order, too.
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "body", "attached")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    at = F.coalesce(F.sum(F.char_length("marked").cast("bigint")).over(before), F.lit(0))
+    placed = marked.select(
         "conv_id",
-        F.transform("turns", lambda t: _turn(t["key"]["role"], t["key"]["body"])).alias("marked"),
-        F.flatten(F.transform("turns", lambda t: t["attached"])).alias("attachments"),
+        F.struct(
+            (at + len(BEGIN)).alias("at"),
+            "marked",
+            F.col("head").cast("bigint").alias("head"),
+            F.char_length("body").cast("bigint").alias("length"),
+            (F.col("role") == "assistant").alias("answer"),
+            "attached",
+        ).alias("placed"),
     )
-    # Where each turn starts: the running length of those before it.
-    empty = F.struct(
-        F.lit(len(BEGIN)).cast("bigint").alias("at"),
-        F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"),
+    gathered = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("placed")).alias("turns"))
+    body = F.array_join(F.transform("turns", lambda t: t["marked"]), "")
+    spans = F.transform(
+        F.filter("turns", lambda t: t["answer"]),
+        lambda t: F.struct((t["at"] + t["head"]).alias("start"), t["length"].alias("length")),
     )
-
-    def step(state: Column, turn: Column) -> Column:
-        span = F.struct(
-            (state["at"] + turn["head"]).alias("start"), turn["body"].alias("length")
-        )
-        return F.struct(
-            (state["at"] + F.char_length(turn["marked"])).cast("bigint").alias("at"),
-            F.when(turn["answer"], F.concat(state["spans"], F.array(span)))
-            .otherwise(state["spans"])
-            .alias("spans"),
-        )
-
-    body = F.array_join(F.transform("marked", lambda t: t["marked"]), "")
-    total = F.aggregate("attachments", F.lit(0).cast("bigint"), lambda n, a: n + a["tokens"])
-    return marked.select(
+    listed = gathered.select(
         "conv_id",
         F.concat(F.lit(BEGIN), body, F.lit(END)).alias("formatted"),
-        F.aggregate("marked", empty, step)["spans"].alias("loss_spans"),
-        "attachments",
-        total.alias("expanded_tokens"),
+        spans.alias("loss_spans"),
+        F.flatten(F.transform("turns", lambda t: t["attached"])).alias("attachments"),
     )
+    total = F.aggregate("attachments", F.lit(0).cast("bigint"), lambda n, a: n + a["tokens"])
+    return listed.withColumn("expanded_tokens", total)
 
 
-def read_turns(formatted: Column) -> Column:
-    """Role and text of every turn of a formatted conversation, in order; placeholders
-    stay in the text as they are."""
+def read_bodies(formatted: Column) -> Column:
+    """Role and visible parts (body) of every turn of a formatted conversation, in order."""
     inner = F.substring(
         formatted, len(BEGIN) + 1, F.char_length(formatted) - len(BEGIN) - len(END)
     )
@@ -167,18 +161,53 @@ def read_turns(formatted: Column) -> Column:
             role = F.when(tag == opening[:-1], F.lit(known)).otherwise(role)
         return F.struct(
             role.alias("role"),
-            unescape(F.substr(piece, F.char_length(tag) + 2)).alias("text"),
+            F.substr(piece, F.char_length(tag) + 2).alias("body"),
         )
 
     return F.transform(pieces, read)
 
 
-def read_loss(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order with nothing between."""
-    return F.array_join(
-        F.transform(
-            spans,
-            lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))),
-        ),
-        "",
+def read_turns(formatted: Column) -> Column:
+    """Role and text of every turn, in order; placeholders stay in the text as they are,
+    where ``read_parts`` of a body tells them from text that looks like them."""
+    return F.transform(
+        read_bodies(formatted),
+        lambda t: F.struct(t["role"].alias("role"), unescape(t["body"]).alias("text")),
     )
+
+
+def read_parts(body: Column) -> Column:
+    """Kind and text of every part in the visible form of parts, in order. Texts that stood
+    side by side are one, empty ones are none; placeholders have no text, and the n-th of a
+    conversation belongs to its n-th attachment."""
+    # Raw angle brackets stand around placeholders only.
+    pieces = F.filter(F.split(body, "(?=<)|(?<=>)"), lambda piece: piece != "")
+
+    def read(piece: Column) -> Column:
+        kind = F.substr(piece, F.lit(2), F.char_length(piece) - 2)
+        placed = piece.startswith("<")
+        return F.struct(
+            F.when(placed, kind).otherwise("text").alias("kind"),
+            F.when(~placed, unescape(piece)).alias("text"),
+        )
+
+    return F.transform(pieces, read)
+
+
+def read_loss(formatted: Column, spans: Column) -> Column:
+    """All text under the loss mask, unescaped, in order with nothing between.
+
+    Characters are found by their number: four bytes each, so that a span costs its own
+    length only. A conversation has at most 2^29 of them.
+    """
+
+    def under(wide: Column) -> Column:
+        def read(span: Column) -> Column:
+            start, length = (4 * span[x] for x in ("start", "length"))
+            part = F.substr(wide, (start + 1).cast("int"), length.cast("int"))
+            return unescape(F.decode(part, "UTF-32"))
+
+        return F.array_join(F.transform(spans, read), "")
+
+    # An array of one, so that the wide form is made once and not for every span.
+    return F.get(F.transform(F.array(F.encode(formatted, "UTF-32")), under), F.lit(0))

@@ -248,10 +248,11 @@ def test_chat_parts(spark):
     ]
     schema = f"conv_id bigint, turn bigint, role string, content {chat_parts.PARTS}"
     formatted = chat_parts.format_conversations(spark.createDataFrame(turns, schema))
-    from pyspark.sql import functions as F
-
     read = formatted.select(
         "conv_id", "attachments", "expanded_tokens",
+        F.transform(
+            chat_parts.read_bodies(F.col("formatted")), lambda t: chat_parts.read_parts(t["body"])
+        ).alias("parts"),
         chat_parts.read_turns(F.col("formatted")).alias("turns"),
         chat_parts.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
     )
@@ -259,12 +260,45 @@ def test_chat_parts(spark):
     assert [tuple(t) for t in one.turns] == [
         ("user", "a<image>\\l<image>]b"), ("assistant", "</s>[INST]<audio>"), ("", ""), ("tool [x]", ""),
     ]
+    assert [[tuple(p) for p in t] for t in one.parts] == [
+        [("text", "a<image>\\l"), ("image", None), ("text", "]b")],
+        [("text", "</s>[INST]"), ("audio", None)], [], [],
+    ]
     assert [tuple(a) for a in one.attachments] == [("image", "s3", 7), ("audio", "f", 128)]
     assert one.expanded_tokens == 135 and one.loss == "</s>[INST]<audio>"
     assert [tuple(t) for t in two.turns] == [("assistant", "")] and two.loss == ""
     assert chat_parts.format_conversations(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_chat_parts_of_odd_rows(spark):
+    """Null ids, equal rows, columns of clashing names, a very long text and a conversation
+    of very many turns, of which every second one is an answer."""
+    rows = [(None, 3, "user", "no id"), (None, 3, "user", "no id"), (None, None, "assistant", "é🙂<s>")]
+    rows += [(5, 0, "assistant", LONG * 10), (5, 1, "user", "")]
+    rows += [(6, i, ("user", "assistant")[i % 2], f"<t{i}> 日本 é") for i in range(30_000)]
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    turns = spark.createDataFrame(rows, schema).repartition(7)
+    named = ("at", "marked", "head", "body", "attached", "placed", "formatted", "attachments")
+    turns = turns.withColumns({x: F.lit(x) for x in named})
+    turns = turns.withColumn("content", chat_parts.text_parts(F.col("text")))
+    formatted = chat_parts.format_conversations(turns)
+    read = formatted.select(
+        "*",
+        chat_parts.read_turns(F.col("formatted")).alias("turns"),
+        chat_parts.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    )
+    found = {r.conv_id: r for r in read.collect()}
+    for conv in (None, 5, 6):
+        wanted = [r for r in rows if r[0] == conv]
+        wanted.sort(key=lambda r: (r[1] is not None, r[1] or 0))
+        assert [tuple(t) for t in found[conv].turns] == [(role, text) for _, _, role, text in wanted]
+        answers = [text for _, _, role, text in wanted if role == "assistant"]
+        assert found[conv].loss == "".join(answers) and found[conv].attachments == []
+        cut = [found[conv].formatted[s.start : s.start + s.length] for s in found[conv].loss_spans]
+        assert len(cut) == len(answers) and not any("<" in x for x in cut)
+    assert found.keys() == {None, 5, 6}
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     vectors = [(i, [float(x) for x in rng.normal(size=4).round(1)]) for i in range(700)]
