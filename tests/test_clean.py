@@ -1,7 +1,10 @@
 import random
 import re
+import time
 import unicodedata
 
+from pyspark.sql import functions as F
+
 from reviewloom.operators import clean
 
 PIECES = [
@@ -96,3 +99,26 @@ def test_composition_of_every_letter(apply):
     assert apply(clean.compose, decomposed) == [
         unicodedata.normalize("NFC", t) for t in decomposed
     ]
+
+
+def test_the_guard_is_all_other_characters(apply):
+    characters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    always = re.compile(f"[{clean.ALWAYS_COMPOSED}]")
+    found = apply(lambda x: x.rlike(f"[{clean.MAYBE_COMPOSED}]"), characters)
+    assert found == [always.match(c) is None for c in characters]
+
+
+def test_the_guard_costs_little_on_latin_text(spark):
+    text = F.repeat(F.concat(F.lit("Caf\u00e9 na\u00efve, and some plain words. "), F.col("id").cast("string")), 25_000)
+    rows = spark.range(0, 24, 1, 4).select(text.alias("x"))
+
+    def seconds(column):
+        found = []
+        for _ in range(3):
+            started = time.perf_counter()
+            rows.select(column).write.format("noop").mode("overwrite").save()
+            found.append(time.perf_counter() - started)
+        return min(found)
+
+    plain = seconds(F.col("x").rlike("[\u0300-\uffff]"))
+    assert seconds(F.length(clean.compose(F.col("x")))) < 5 * plain + 0.5
