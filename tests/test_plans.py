@@ -48,6 +48,15 @@ def test_analysis_is_one_narrow_stage(spark, many_splits):
     assert sorted(names) == ["answers", "composed", "opens"]
 
 
+@pytest.mark.parametrize("name", ["preprocess_reviews", "chunk_pack", "run_metrics", "sample_summaries", "export_rows"])
+def test_a_text_is_cleaned_and_split_once(spark, name):
+    text = plan(registered.QUERIES[name](spark, SMALL))
+    # The patterns of tags, of sentence ends, and of words (of a text and of a sentence).
+    assert text.count("<[^>]++>") == 1
+    assert text.count("(?<=[.!?])") <= 1
+    assert text.count(", x, 1)") <= 2
+
+
 def test_filters_pass_preprocessing_and_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "reviews")
     rows = [(i, "d", "Caf\u0065\u0301. " * 400, f"u{i % 3}") for i in range(9)]
