@@ -106,7 +106,7 @@ def ask_chunks(
     path: str,
     client_factory: ClientFactory,
     settings: CompletionSettings = CompletionSettings(),
-    tasks: int = 8,
+    tasks: int | None = None,
     rounds: int = 1,
     ask_again: tuple[str, ...] = (),
     most_rounds: int | None = None,
@@ -116,9 +116,11 @@ def ask_chunks(
     The missing ones are asked in ``rounds`` jobs of ``tasks`` tasks, of which the first
     ``most_rounds`` are run, if it is given. A job that fails leaves what earlier ones have
     written; called again, only the rest is asked. Prompts whose failures are of a class
-    in ``ask_again`` are asked once more, and their newest response counts.
+    in ``ask_again`` are asked once more, and their newest response counts. Without
+    ``tasks`` there are as many as cores. Reads ``prompts`` twice: make them of a stored table.
     """
     spark = prompts.sparkSession
+    tasks = tasks or spark.sparkContext.defaultParallelism
     missing = open_prompts(prompts, read_responses(spark, path), ask_again)
     # One table of what is open, so that no round looks for it anew.
     waiting = f"{path}_open"

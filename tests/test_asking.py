@@ -198,3 +198,28 @@ def test_a_broken_run_goes_on(spark, tmp_path):
     asked = sum(noted(folder).values())
     run_reviews(*arguments, client_factory=factory, rounds=2, tasks=1, resume=True)
     assert sum(noted(folder).values()) == asked
+
+
+def test_without_tasks_all_cores_ask(spark, tmp_path):
+    def factory():
+        from pyspark import TaskContext
+
+        return lambda prompt, temperature, max_tokens: str(TaskContext.get().partitionId())
+
+    done = asking.ask_chunks(prompt_rows(spark, 400), str(tmp_path / "r"), factory)
+    cores = spark.sparkContext.defaultParallelism
+    assert {r.raw_response for r in done.collect()} == {str(i) for i in range(cores)}
+
+
+def test_prompts_of_the_query_are_made_of_a_stored_table(spark, monkeypatch):
+    from checks import queries as registered
+
+    plans, made = [], asking.chunk_prompts
+
+    def chunk_prompts(preprocessed):
+        plans.append(preprocessed._jdf.queryExecution().executedPlan().toString())
+        return made(preprocessed)
+
+    monkeypatch.setattr(asking, "chunk_prompts", chunk_prompts)
+    registered.stored_responses(spark, "/root/testdata/sf0.001")
+    assert plans and not any("ArrowEvalPython" in text for text in plans)
