@@ -25,7 +25,7 @@ from reviewloom.operators.completion import (
 )
 from reviewloom.operators.prompts import build_prompt
 from reviewloom.schemas import RESPONSE_FIELDS
-from reviewloom.sources.tables import exists
+from reviewloom.sources.tables import STORED_AS, exists
 
 KEY = ("review_key", "chunk_idx")
 # Portions per task and round of which weights are known, and portions in all.
@@ -124,17 +124,21 @@ def ask_chunks(
     missing = open_prompts(prompts, read_responses(spark, path), ask_again)
     # One table of what is open, so that no round looks for it anew.
     waiting = f"{path}_open"
-    dealt(missing, tasks, rounds).write.mode("overwrite").partitionBy("round").parquet(waiting)
+    turns = rounds if most_rounds is None else min(rounds, most_rounds)
+    # What later calls deal anew is not stored now.
+    placed = dealt(missing, tasks, rounds).where(F.col("round") < turns)
+    placed.write.mode("overwrite").options(**STORED_AS).partitionBy("round").parquet(waiting)
     fields = [f"{name} {prompts.schema[name].dataType.simpleString()}" for name in KEY]
     schema = ", ".join([*fields, RESPONSE_FIELDS])
     held = spark.read.schema(f"{', '.join(fields)}, prompt string, task int, round int").parquet(waiting)
     spark.createDataFrame([], f"{schema}, asked_in int").write.mode("append").parquet(path)
     number = spark.read.parquet(path).agg(F.coalesce(F.max("asked_in"), F.lit(-1))).first()[0]
-    for turn in range(rounds if most_rounds is None else min(rounds, most_rounds)):
+    for turn in range(turns):
         placed = held.where(F.col("round") == turn).repartitionById(tasks, F.col("task"))
         ordered = placed.sortWithinPartitions(*KEY).select(*KEY, "prompt")
         answers = ordered.mapInArrow(_ask(client_factory, settings), schema)
-        answers.withColumn("asked_in", F.lit(number + 1 + turn)).write.mode("append").parquet(path)
+        told = answers.withColumn("asked_in", F.lit(number + 1 + turn))
+        told.write.mode("append").options(**STORED_AS).parquet(path)
     return newest(spark.read.parquet(path))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.times import iso, moment
+from reviewloom.sources.tables import STORED_AS
 
 PART_BYTES = 128 * 2**20
 PIECE_ORDER = ("source_url", "section", "review_key")
@@ -117,7 +118,7 @@ def write_documents(
     # The range covers the review key, so a product is spread over many tasks.
     tasks = all_bytes // PART_BYTES + 1
     ordered = pieces.repartitionByRange(tasks, *PIECE_ORDER).sortWithinPartitions(*PIECE_ORDER)
-    ordered.write.mode(mode).parquet(f"{path}/pieces")
+    ordered.write.mode(mode).options(**STORED_AS).parquet(f"{path}/pieces")
     return path
 
 

@@ -223,3 +223,25 @@ def test_prompts_of_the_query_are_made_of_a_stored_table(spark, monkeypatch):
     monkeypatch.setattr(asking, "chunk_prompts", chunk_prompts)
     registered.stored_responses(spark, "/root/testdata/sf0.001")
     assert plans and not any("ArrowEvalPython" in text for text in plans)
+
+
+def test_only_rounds_that_are_run_are_stored(spark, tmp_path):
+    def factory():
+        return lambda prompt, temperature, max_tokens: prompt
+
+    path = str(tmp_path / "responses")
+    asking.ask_chunks(prompt_rows(spark, 90), path, factory, tasks=2, rounds=3, most_rounds=1)
+    waiting = spark.read.parquet(f"{path}_open")
+    assert {r["round"] for r in waiting.select("round").distinct().collect()} == {0}
+    assert waiting.count() == spark.read.parquet(path).count() < 90
+
+
+def test_chunks_of_a_run_in_rounds_are_stored_once(spark, tmp_path):
+    run = run_reviews(
+        reviews(spark), product_rows(spark), str(tmp_path / "out"), "run", WHEN, rounds=1, client_factory=offline_client
+    )
+    enriched = spark.read.parquet(run.enriched_path)
+    stored = spark.read.parquet(f"{tmp_path}/out/run/preprocessed")
+    assert "chunks" not in enriched.columns
+    sizes = {r.review_key: len(r.chunks) for r in stored.collect()}
+    assert {r.review_key: r.chunks_analyzed for r in enriched.collect()} == sizes
